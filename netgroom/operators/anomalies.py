@@ -101,7 +101,11 @@ def _report(fields: Sequence[str], issue: Column, action: str, confidence: int)
 
 
 def detect_anomalies(clean: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame:
-    """Rows for which a rule holds, reported by the first such rule; no shuffle."""
+    """Rows for which a rule holds, reported by the first such rule; no shuffle.
+
+    Rows without a finding are dropped by ``inline`` and not by a filter: a
+    filter would be pushed below the cleaning and repeat it in its condition.
+    """
     rules = DEFAULT_RULES if rules is None else rules
     number = F.coalesce(*[F.when(F.expr(r.condition), i) for i, r in enumerate(rules)])
     report = F.coalesce(
@@ -110,11 +114,10 @@ def detect_anomalies(clean: DataFrame, rules: Sequence[Rule] | None = None) -> D
             for i, r in enumerate(rules)
         ]
     )
+    found = F.when(F.col("_rule").isNotNull(), F.array(report))
     return (
         clean.withColumn("_rule", number)
-        .where("_rule IS NOT NULL")
-        .select("source_row_id", report.alias("_report"))
-        .select("source_row_id", "_report.*")
+        .select("source_row_id", F.inline(found))
         .select(*ANOMALY.names)
     )
 

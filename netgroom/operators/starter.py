@@ -12,9 +12,9 @@ ACTION = "Correct IP or mark record for review"
 
 
 def _checked(raw: DataFrame) -> DataFrame:
-    renamed = F.col("_c_reason")
-    return clean_ipv4(raw, "ip", "_c").withColumn(
-        "_c_reason", F.when(renamed == "wrong_octet_count", "wrong_part_count").otherwise(renamed)
+    renamed = F.col("checked_reason")
+    return clean_ipv4(raw, "ip", "checked").withColumn(
+        "checked_reason", F.when(renamed == "wrong_octet_count", "wrong_part_count").otherwise(renamed)
     )
 
 
@@ -23,16 +23,16 @@ def starter_clean(raw: DataFrame) -> DataFrame:
 
     An invalid address stays as it was, without surrounding white space.
     """
-    valid = F.col("_c_valid")
+    valid = F.col("checked_valid")
     steps = F.when(valid, F.array(F.lit("ip_trim"), F.lit("ip_parse"), F.lit("ip_normalize"))).otherwise(
-        F.array(F.lit("ip_trim"), F.concat(F.lit("ip_invalid_"), F.col("_c_reason")))
+        F.array(F.lit("ip_trim"), F.concat(F.lit("ip_invalid_"), F.col("checked_reason")))
     )
     rest = [c for c in raw.columns if c not in ("ip", "source_row_id")]
     return _checked(raw).select(
-        F.when(valid, F.col("_c_clean")).otherwise(strip(F.col("ip"))).alias("ip"),
+        F.when(valid, F.col("checked_clean")).otherwise(strip(F.col("ip"))).alias("ip"),
         F.when(valid, "true").otherwise("false").alias("ip_valid"),
         F.when(valid, "4").otherwise("").alias("ip_version"),
-        private_subnet_24(F.col("_c_clean")).alias("subnet_cidr"),
+        private_subnet_24(F.col("checked_clean")).alias("subnet_cidr"),
         F.array_join(steps, "|").alias("normalization_steps"),
         "source_row_id",
         *rest,
@@ -42,11 +42,11 @@ def starter_clean(raw: DataFrame) -> DataFrame:
 def starter_anomalies(raw: DataFrame) -> DataFrame:
     """One record for each invalid address."""
     issue = F.struct(
-        F.lit("ip").alias("field"), F.col("_c_reason").alias("type"), F.col("ip").alias("value")
+        F.lit("ip").alias("field"), F.col("checked_reason").alias("type"), F.col("ip").alias("value")
     )
     return (
         _checked(raw)
-        .where(~F.col("_c_valid"))
+        .where(~F.col("checked_valid"))
         .select(
             "source_row_id",
             F.array(issue).alias("issues"),
