@@ -44,12 +44,8 @@ def starter_anomalies(raw: DataFrame) -> DataFrame:
     issue = F.struct(
         F.lit("ip").alias("field"), F.col("checked_reason").alias("type"), F.col("ip").alias("value")
     )
-    return (
-        _checked(raw)
-        .where(~F.col("checked_valid"))
-        .select(
-            "source_row_id",
-            F.array(issue).alias("issues"),
-            F.array(F.lit(ACTION)).alias("recommended_actions"),
-        )
+    record = F.struct(
+        F.array(issue).alias("issues"), F.array(F.lit(ACTION)).alias("recommended_actions")
     )
+    found = F.when(~F.col("checked_valid"), F.array(record))
+    return _checked(raw).select("source_row_id", F.inline(found))
