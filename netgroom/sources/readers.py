@@ -40,8 +40,10 @@ def _checked_lines(df: DataFrame, n_columns: int) -> DataFrame:
     outside_quotes = F.regexp_replace(line, '"[^"]*"', "")
     n_quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
     n_commas = F.length(outside_quotes) - F.length(F.replace(outside_quotes, F.lit(","), F.lit("")))
-    problem = F.when(n_quotes % 2 == 1, F.raise_error(F.lit("quoted line break in CSV, read with multiline=True")))
-    problem = problem.when(n_commas >= n_columns, F.raise_error(F.concat(F.lit("too many values: "), line)))
+    row = F.concat(F.lit("row "), F.coalesce(F.col("source_row_id"), F.lit("?")), F.lit(": "))
+    broken = F.raise_error(F.concat(row, F.lit("quoted line break, read with multiline=True")))
+    too_long = F.raise_error(F.concat(row, F.lit("too many values")))
+    problem = F.when(n_quotes % 2 == 1, broken).when(n_commas >= n_columns, too_long)
     return df.where(problem.isNull()).drop(_CORRUPT)
 
 
