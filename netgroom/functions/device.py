@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from functools import reduce
+from functools import cache, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,6 +54,7 @@ def _has_keyword(s: Column, pattern: str) -> Column:
     return reduce(Column.__or__, tests)
 
 
+@cache
 def device_type_stages(source: str = "device_type", out: str = "device_type") -> Stages:
     s, exact, fuzzy = F.col(f"_{out}_text"), F.col(f"_{out}_exact"), F.col(f"_{out}_fuzzy")
     names = reduce(lambda case, kv: case.when(s == kv[0], kv[1]), EXACT.items(), F)

@@ -7,6 +7,8 @@ and the whole chain stays inside generated code.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +27,7 @@ _STRICT_OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 STRICT_IPV4 = rf"{_STRICT_OCTET}(?:[.]{_STRICT_OCTET}){{3}}"
 
 
+@cache
 def ipv4_stages(source: str = "ip", out: str = "ip") -> Stages:
     s, valid = F.col(f"_{out}_text"), F.col(f"{out}_valid")
     to_shorten = s.startswith("0") | s.contains(".0") | s.contains("+")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ MAC_PAIRS = r"\A([0-9A-Fa-f]{2}[:-]){5}[0-9A-Fa-f]{2}\z"
 MAC_DOTTED = r"\A([0-9A-Fa-f]{4}\.){2}[0-9A-Fa-f]{4}\z"
 
 
+@cache
 def mac_stages(source: str = "mac", out: str = "mac") -> Stages:
     s, clean = F.col(f"_{out}_text"), F.col(f"{out}_clean")
     pairs = F.translate(s, "-ABCDEF", ":abcdef")

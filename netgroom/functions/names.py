@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +21,7 @@ _VALID_FQDN = rf"\A{_FIRST}(?:[.]{_OTHER})+\z"
 _GOOD_LABELS = rf"\A(?:{_FIRST}[.](?:{_OTHER}[.])*+)?"
 
 
+@cache
 def hostname_stages(source: str = "hostname", out: str = "hostname") -> Stages:
     s, ok = F.col(f"_{out}_text"), F.col(f"{out}_reason") == "ok"
     return [
@@ -43,6 +46,7 @@ def clean_hostname(df: DataFrame, source: str = "hostname", out: str = "hostname
     return add_fields(df, hostname_stages(source, out))
 
 
+@cache
 def fqdn_stages(
     source: str = "fqdn", out: str = "fqdn", hostname: str | None = None, site: str | None = None
 ) -> Stages:

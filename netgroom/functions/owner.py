@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,21 +16,26 @@ EMAIL = rf"(?:\G|(?<![{WORD}.-]))[{WORD}.-]++@[{WORD}.-]+\.[{WORD}]+"
 _PARENS = r"\(([^\n]*?)\)"
 
 
+@cache
 def owner_stages(source: str = "owner", out: str = "owner") -> Stages:
-    s, rest, name = F.col(f"_{out}_text"), F.col(f"_{out}_rest"), F.col(f"_{out}_name")
-    has_at, has_paren = s.contains("@"), rest.contains("(")
+    s, mail, rest, bare, name = (F.col(f"_{out}_{x}") for x in ("text", "mail", "rest", "bare", "name"))
+    has_at = s.contains("@")
     return [
         {f"_{out}_text": strip_column(source)},
         {
-            f"{out}_email": F.when(has_at, F.regexp_substr(s, F.lit(EMAIL))),
+            f"_{out}_mail": F.when(has_at, F.regexp_extract(s, EMAIL, 0)),
             f"_{out}_rest": F.when(has_at, strip(F.regexp_replace(s, EMAIL, ""))).otherwise(s),
         },
-        {f"_{out}_name": F.when(has_paren, strip(F.regexp_replace(rest, _PARENS, ""))).otherwise(rest)},
+        {
+            f"{out}_email": F.when(mail != "", mail),
+            f"_{out}_bare": F.when(rest.contains("("), F.regexp_replace(rest, _PARENS, "")).otherwise(rest),
+        },
+        {
+            f"_{out}_name": strip(bare),
+            f"{out}_team": F.when(bare != rest, strip(F.regexp_extract(rest, _PARENS, 1))),
+        },
         {
             f"{out}_clean": F.when(name != "", F.lower(name)),
-            f"{out}_team": F.when(
-                has_paren & rest.rlike(_PARENS), strip(F.regexp_extract(rest, _PARENS, 1))
-            ),
             f"{out}_reason": F.when(s.isNull() | (s == ""), "missing").otherwise(
                 "owner_valid_and_normalized"
             ),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from netgroom.functions.text import squeeze_column, strip_column
 NO_SITE = ["n/a", "na", "none", "null", "unknown"]
 
 
+@cache
 def site_stages(source: str = "site", out: str = "site") -> Stages:
     s, name, reason = F.col(f"_{out}_text"), F.col(f"_{out}_name"), F.col(f"{out}_reason")
     hyphens = squeeze_column(f"_{out}_text", ",_-", "-")

@@ -3,7 +3,8 @@
 A field function is a list of stages; each stage maps new column names to
 expressions over the columns of earlier stages, so that a shared value is
 computed once.  Running several fields together merges their stages, which
-keeps the plan at a handful of projections for any number of fields.
+keeps the plan at a handful of projections for any number of fields.  Stages
+hold no data and are the same for every table, so they are built once.
 """
 
 from __future__ import annotations

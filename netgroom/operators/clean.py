@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +27,7 @@ from netgroom.sources.schema import CLEAN
 LOGGED_FIELDS = ["ip", "hostname", "fqdn", "mac", "owner", "device_type", "site"]
 
 
+@cache
 def ipv4_derived_stages() -> Stages:
     """Type, subnet and reverse pointer of the cleaned address, from the fourth stage on."""
     ip = F.col("ip_clean")
@@ -55,6 +58,7 @@ def clean_fields(raw: DataFrame) -> DataFrame:
     )
 
 
+@cache
 def _steps():
     return F.array(
         *[trace(f, F.col(f), F.col(f"{f}_clean"), F.col(f"{f}_reason")) for f in LOGGED_FIELDS]

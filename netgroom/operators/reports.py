@@ -47,7 +47,11 @@ def subnet_rollup(clean: DataFrame) -> DataFrame:
 
 
 def site_device_matrix(clean: DataFrame) -> DataFrame:
-    """Devices by site and type with totals; ``level`` tells totals from values."""
-    return clean.cube("site_normalized", "device_type").agg(
-        F.grouping_id().alias("level"), F.count(F.lit(1)).alias("devices")
+    """Devices by site and type with totals; ``level`` tells totals from values.
+
+    The totals are made from the counts of the pairs and not from the rows.
+    """
+    pairs = clean.groupBy("site_normalized", "device_type").agg(F.count(F.lit(1)).alias("n"))
+    return pairs.cube("site_normalized", "device_type").agg(
+        F.grouping_id().alias("level"), F.sum("n").alias("devices")
     )

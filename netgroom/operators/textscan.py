@@ -38,12 +38,17 @@ def text_ipv4(df: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def page_hosts(df: DataFrame, url: str) -> DataFrame:
-    """Pages and hosts of each domain (the last two labels of a valid host name)."""
+    """Pages and hosts of each domain (the last two labels of a valid host name).
+
+    Pages are counted by host before the hosts are checked, so a host is
+    checked once and a host of very many pages is a single row in the shuffles.
+    """
     host = F.regexp_extract(F.col(url), r"\A[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)
-    hosts = clean_fqdn(df.select(host.alias("host")), "host", "host")
+    counted = df.groupBy(host.alias("host")).agg(F.count(F.lit(1)).alias("n"))
+    hosts = clean_fqdn(counted, "host", "host")
     domain = F.when(F.col("host_valid"), F.substring_index(F.col("host_clean"), ".", -2))
     return (
-        hosts.select(domain.alias("domain"), "host_reason", F.col("host_clean").alias("host"))
+        hosts.select(domain.alias("domain"), "host_reason", "host_clean", "n")
         .groupBy("domain", "host_reason")
-        .agg(F.count(F.lit(1)).alias("pages"), F.countDistinct("host").alias("hosts"))
+        .agg(F.sum("n").alias("pages"), F.countDistinct("host_clean").alias("hosts"))
     )

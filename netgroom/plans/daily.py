@@ -11,6 +11,7 @@ from netgroom.operators.anomalies import all_anomalies
 from netgroom.operators.clean import clean_inventory
 from netgroom.operators.owners import correct_owner, merge_owner, unknown_proposals
 from netgroom.operators.payload import anomaly_payloads, anomaly_reply_rows, ask, owner_payloads, owner_reply_rows
+from netgroom.session import shared_dir, tune
 from netgroom.sources.readers import read_raw
 from netgroom.sources.schema import ANOMALY
 from netgroom.sources.writers import run_path, write_csv, write_json, write_stage
@@ -32,9 +33,9 @@ def _asked(spark: SparkSession, payloads: DataFrame, model, base: str, run_date:
 def run_daily(
     spark: SparkSession,
     source: str | DataFrame,
-    work: str,
     out: str,
     run_date: str,
+    work: str | None = None,
     proposals: DataFrame | None = None,
     owner_model: Callable[[str], str] | None = None,
     anomaly_model: Callable[[str], str] | None = None,
@@ -42,12 +43,15 @@ def run_daily(
 ) -> Published:
     """Run all stages for one date and publish below ``out``.
 
-    ``work`` and ``out`` must be shared by all executors.  Every stage is a
+    ``out`` and ``work`` (by default below ``spark.checkpoint.dir``) must be
+    folders shared by all executors.  Every stage is a
     written table, so a failed run can be repeated and later stages do not
     recompute earlier ones.  Owners are corrected by given ``proposals``, by
     the replies of ``owner_model``, or by rule.  Failed model calls leave their
     rows as they are.  With ``find_anomalies=None`` only the table is published.
     """
+    work = f"{shared_dir(spark)}/netgroom" if work is None else work
+    tune(spark)
     raw = read_raw(spark, source) if isinstance(source, str) else source
     cleaned = spark.read.parquet(write_stage(clean_inventory(raw), f"{work}/cleaned", run_date))
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+SHARED_DIR = "spark.checkpoint.dir"
+
 
 def local_session(name: str = "netgroom", cores: int | str = 8, **conf: str) -> SparkSession:
     builder = (
@@ -31,3 +33,11 @@ def tune(spark: SparkSession) -> SparkSession:
     """
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return spark
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder shared by all executors that the cluster names for intermediate tables."""
+    folder = spark.conf.get(SHARED_DIR, None) or spark.sparkContext.getConf().get(SHARED_DIR, None)
+    if not folder:
+        raise ValueError(f"set {SHARED_DIR} or give a folder that all executors share")
+    return folder.rstrip("/")

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from netgroom.operators.anomalies import detect_anomalies
 from netgroom.operators.clean import clean_inventory
 from netgroom.operators.owners import correct_owner
+from netgroom.session import shared_dir, tune
 from netgroom.sources.readers import CSV_FILES, null_tokens, typed_row_id
 from netgroom.sources.schema import RAW_COLUMNS
 from netgroom.sources.writers import write_json, write_stage
@@ -28,17 +29,20 @@ def raw_stream(spark: SparkSession, directory: str, files_per_batch: int | None
 def publish_stream(
     raw: DataFrame,
     out: str,
-    checkpoint: str,
     run_date: str,
+    checkpoint: str | None = None,
     correct: Callable[[DataFrame], DataFrame] = correct_owner,
     find: Callable[[DataFrame], DataFrame] = detect_anomalies,
 ) -> StreamingQuery:
     """Clean what is there now, publish it and stop.
 
+    ``checkpoint`` keeps the progress, by default below ``spark.checkpoint.dir``.
     Each batch writes its own directory and overwrites it when repeated, so
     every row is published exactly once.  All steps work row by row; findings
     across rows, such as shared MAC addresses, come from the published table.
     """
+    checkpoint = checkpoint or f"{shared_dir(raw.sparkSession)}/netgroom/stream"
+    tune(raw.sparkSession)
     cleaned = correct(clean_inventory(raw))
 
     def publish(batch: DataFrame, number: int) -> None:

@@ -10,6 +10,7 @@ from netgroom.operators.clean import clean_inventory
 from netgroom.operators.owners import correct_owner
 from netgroom.operators.starter import starter_anomalies, starter_clean
 from netgroom.plans.daily import run_daily
+from netgroom.session import shared_dir
 from netgroom.sources.readers import (
     read_anomalies,
     read_clean,
@@ -131,7 +132,7 @@ def test_reply_and_anomaly_files(spark, tmp_path):
 def test_daily_run(spark, raw_file, tmp_path):
     work, out = str(tmp_path / "work"), str(tmp_path / "out")
     for _ in range(2):  # a repeated run replaces the first
-        done = run_daily(spark, raw_file, work, out, "2025-11-04")
+        done = run_daily(spark, raw_file, out, "2025-11-04", work)
     assert (done.rows, done.unknown_proposals) == (4, 0)
     assert done.inventory == f"{out}/run_date=2025-11-04/inventory_clean"
     owners = {r.source_row_id: (r.owner, r.owner_team) for r in read_clean(spark, done.inventory).collect()}
@@ -153,7 +154,7 @@ def test_daily_run_with_models_and_failures(spark, raw_file, tmp_path):
              "anomaly_confidence": 50} for i in ids
         ])
 
-    done = run_daily(spark, raw_file, str(tmp_path / "w"), str(tmp_path / "o"), "2025-11-05", owner_model=down, anomaly_model=finder)
+    done = run_daily(spark, raw_file, str(tmp_path / "o"), "2025-11-05", str(tmp_path / "w"), owner_model=down, anomaly_model=finder)
     owners = {r.source_row_id: r.owner for r in read_clean(spark, done.inventory).collect()}
     assert owners[2] == "sec" and done.rows == 4
     assert read_anomalies(spark, done.anomalies, as_list=False).count() == 4
@@ -161,11 +162,18 @@ def test_daily_run_with_models_and_failures(spark, raw_file, tmp_path):
         [(1, "zoe", None, None, 99.0), (77, "ghost", None, None, 99.0)],
         "source_row_id long, owner string, owner_team string, owner_email string, confidence_percentage double",
     )
-    done = run_daily(spark, raw_file, str(tmp_path / "w"), str(tmp_path / "o"), "2025-11-06", proposals=proposals, find_anomalies=None)
+    done = run_daily(spark, raw_file, str(tmp_path / "o"), "2025-11-06", str(tmp_path / "w"), proposals=proposals, find_anomalies=None)
     assert (done.anomalies, done.unknown_proposals) == (None, 1)
     assert {r.source_row_id: r.owner for r in read_clean(spark, done.inventory).collect()}[1] == "zoe"
 
 
+def test_shared_folder_comes_from_the_session(spark):
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    spark.conf.set("spark.checkpoint.dir", "/shared/")
+    assert shared_dir(spark) == "/shared"
+    spark.conf.set("spark.checkpoint.dir", before) if before else spark.conf.unset("spark.checkpoint.dir")
+
+
 def test_stream_equals_batch(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
@@ -174,7 +182,7 @@ def test_stream_equals_batch(spark, tmp_path):
     out, mark = str(tmp_path / "out"), str(tmp_path / "mark")
 
     def run():
-        query = publish_stream(raw_stream(spark, str(source), files_per_batch=1), out, mark, "2025-11-04")
+        query = publish_stream(raw_stream(spark, str(source), files_per_batch=1), out, "2025-11-04", mark)
         query.awaitTermination()
 
     run()

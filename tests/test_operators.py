@@ -126,7 +126,9 @@ def test_merge_edges(spark):
         5: ("o5", "t5", "e5", "n"),
     }
     assert merged.count() == 7
-    assert [r.source_row_id for r in unknown_proposals(table, high_confidence(proposals)).collect() if r.source_row_id] == [99]
+    for hot_rows in (0, 100):
+        ghosts = unknown_proposals(table, high_confidence(proposals), hot_rows=hot_rows).collect()
+        assert sorted(r.owner for r in ghosts) == ["ghost", "nobody"]
 
 
 def test_two_proposals_for_a_row_fail(spark):
