@@ -168,10 +168,12 @@ def test_daily_run_with_models_and_failures(spark, raw_file, tmp_path):
 
 
 def test_shared_folder_comes_from_the_session(spark):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", "/shared/")
-    assert shared_dir(spark) == "/shared"
-    spark.conf.set("spark.checkpoint.dir", before) if before else spark.conf.unset("spark.checkpoint.dir")
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        assert shared_dir(spark) == folder.rstrip("/")
+    else:
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_dir(spark)
 
 
 def test_stream_equals_batch(spark, tmp_path):
