@@ -10,6 +10,7 @@ from netgroom.functions.text import count_char, strip
 
 _GROUPS = r"[0-9a-f]{1,4}(?::[0-9a-f]{1,4})*"
 _SHAPE = rf"\A(?:{_GROUPS}|(?:{_GROUPS})?::(?:{_GROUPS})?)\z"
+_LONGEST = 39
 _SCOPE = r"%[^%/]+\z"
 
 
@@ -52,7 +53,7 @@ def expand_ipv6(df: DataFrame, source: str, out: str = "ipv6") -> DataFrame:
                 ),
             ).otherwise(s),
         )
-        .withColumn(body, F.when(b.rlike(_SHAPE), b))
+        .withColumn(body, F.when((F.length(b) <= _LONGEST) & b.rlike(_SHAPE), b))
         .withColumns(
             {
                 left: F.split_part(b, F.lit("::"), F.lit(1)),

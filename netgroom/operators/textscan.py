@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from netgroom.functions import canonical_ipv4_type, clean_fqdn, clean_ipv4
 from netgroom.functions.owner import EMAIL
 
-# Runs of digits and dots with at least four parts.
-QUAD = r"[0-9]+(?:[.][0-9]+){3,}"
+# Runs of digits and dots with at least four parts; possessive, so long numbers stay linear.
+QUAD = r"(?<![0-9])[0-9]++(?:[.][0-9]++){3,}+"
 
 
 def text_emails(df: DataFrame, key: str, text: str) -> DataFrame:

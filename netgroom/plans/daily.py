@@ -11,6 +11,7 @@ from netgroom.operators.anomalies import all_anomalies
 from netgroom.operators.clean import clean_inventory
 from netgroom.operators.owners import correct_owner, merge_owner, unknown_proposals
 from netgroom.operators.payload import anomaly_payloads, anomaly_reply_rows, ask, owner_payloads, owner_reply_rows
+from netgroom.operators.starter import starter_anomalies, starter_clean
 from netgroom.session import shared_dir, tune
 from netgroom.sources.readers import read_raw
 from netgroom.sources.schema import ANOMALY
@@ -80,3 +81,11 @@ def run_daily(
         anomalies = write_json(found.select(*ANOMALY.names), run_path(out, run_date, "anomalies"))
     inventory = run_path(out, run_date, "inventory_clean")
     return Published(inventory, anomalies, write_csv(corrected, inventory), unknown)
+
+
+def run_starter(spark: SparkSession, source: str, out: str, run_date: str) -> Published:
+    """The starter variant: addresses checked, everything else passed through, one record for each bad address."""
+    raw = read_raw(spark, source, na=False)
+    anomalies = write_json(starter_anomalies(raw), run_path(out, run_date, "anomalies"))
+    inventory = run_path(out, run_date, "inventory_clean")
+    return Published(inventory, anomalies, write_csv(starter_clean(raw), inventory), 0)

@@ -12,7 +12,7 @@ from netgroom.operators.payload import owner_reply_rows
 from netgroom.sources.schema import ANOMALY, CLEAN, NA_TOKENS, RAW_COLUMNS, STEP
 
 CSV_FILES = "*.[cC][sS][vV]"
-_CORRUPT = "_corrupt_line"
+CORRUPT = "_corrupt_line"
 
 
 def _csv_path(path: str | None) -> str:
@@ -24,7 +24,7 @@ def _csv_path(path: str | None) -> str:
     return path
 
 
-def _csv_options(multiline: bool) -> dict[str, str]:
+def csv_options(multiline: bool) -> dict[str, str]:
     return {
         "header": "true",
         "escape": '"',
@@ -34,9 +34,9 @@ def _csv_options(multiline: bool) -> dict[str, str]:
     }
 
 
-def _checked_lines(df: DataFrame, n_columns: int) -> DataFrame:
+def checked_lines(df: DataFrame, n_columns: int) -> DataFrame:
     """Fail on lines that hold a quoted line break or too many values; short lines are filled with NULL."""
-    line = F.col(_CORRUPT)
+    line = F.col(CORRUPT)
     outside_quotes = F.regexp_replace(line, '"[^"]*"', "")
     n_quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
     n_commas = F.length(outside_quotes) - F.length(F.replace(outside_quotes, F.lit(","), F.lit("")))
@@ -44,7 +44,12 @@ def _checked_lines(df: DataFrame, n_columns: int) -> DataFrame:
     broken = F.raise_error(F.concat(row, F.lit("quoted line break, read with multiline=True")))
     too_long = F.raise_error(F.concat(row, F.lit("too many values")))
     problem = F.when(n_quotes % 2 == 1, broken).when(n_commas >= n_columns, too_long)
-    return df.where(problem.isNull()).drop(_CORRUPT)
+    return df.where(problem.isNull()).drop(CORRUPT)
+
+
+def checked_options() -> dict[str, str]:
+    """Options of a split reader whose lines :func:`checked_lines` looks at."""
+    return csv_options(False) | {"columnNameOfCorruptRecord": CORRUPT, "columnPruning": "false"}
 
 
 def null_tokens(df: DataFrame) -> DataFrame:
@@ -64,17 +69,16 @@ def read_raw(spark: SparkSession, path: str, na: bool = True, multiline: bool =
     tasks and a line break inside quotes is an error; with it a file is one
     task.  ``na=False`` keeps all texts as they are and missing ones as ``""``.
     """
-    names = spark.read.options(**_csv_options(False)).csv(_csv_path(path)).columns
+    names = spark.read.options(**csv_options(False)).csv(_csv_path(path)).columns
     missing = [c for c in RAW_COLUMNS if c not in names and c != "notes"]
     if missing:
         raise ValueError(f"columns missing in {path}: {missing}")
     schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
-    options = _csv_options(multiline)
     if multiline:
-        df = spark.read.options(**options).schema(schema).csv(path)
+        df = spark.read.options(**csv_options(True)).schema(schema).csv(path)
     else:
-        options |= {"columnNameOfCorruptRecord": _CORRUPT, "columnPruning": "false"}
-        df = _checked_lines(spark.read.options(**options).schema(schema.add(_CORRUPT, "string")).csv(path), len(names))
+        lines = spark.read.options(**checked_options()).schema(schema.add(CORRUPT, "string")).csv(path)
+        df = checked_lines(lines, len(names))
     if na:
         return typed_row_id(null_tokens(df))
     return df.fillna("", subset=names)
@@ -87,7 +91,7 @@ def _steps_json(text: Column) -> Column:
 
 def read_clean(spark: SparkSession, path: str) -> DataFrame:
     """A clean inventory stored as CSV; unnamed index columns are dropped."""
-    options = _csv_options(True) | {"enforceSchema": "true"}
+    options = csv_options(True) | {"enforceSchema": "true"}
     df = spark.read.options(**options).csv(_csv_path(path))
     index = [c for c in df.columns if c == "_c0" or c.startswith("Unnamed:")]
     df = null_tokens(df.drop(*index))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -12,18 +12,27 @@ from netgroom.operators.anomalies import detect_anomalies
 from netgroom.operators.clean import clean_inventory
 from netgroom.operators.owners import correct_owner
 from netgroom.session import shared_dir, tune
-from netgroom.sources.readers import CSV_FILES, null_tokens, typed_row_id
+from netgroom.sources.readers import CORRUPT, checked_lines, checked_options, null_tokens, typed_row_id
 from netgroom.sources.schema import RAW_COLUMNS
 from netgroom.sources.writers import write_json, write_stage
 
 
-def raw_stream(spark: SparkSession, directory: str, files_per_batch: int | None = None) -> DataFrame:
-    """Raw rows of all ``*.csv`` files that are in the directory or arrive later."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in RAW_COLUMNS])
-    reader = spark.readStream.schema(schema).options(header="true", escape='"', pathGlobFilter=CSV_FILES)
+def raw_stream(
+    spark: SparkSession,
+    directory: str,
+    files_per_batch: int | None = None,
+    columns: Sequence[str] = RAW_COLUMNS,
+) -> DataFrame:
+    """Raw rows of all ``*.csv`` files that are in the directory or arrive later.
+
+    Every file must have these ``columns``; lines are checked as in a batch.
+    """
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, CORRUPT]])
+    reader = spark.readStream.schema(schema).options(**checked_options())
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return typed_row_id(null_tokens(reader.csv(directory)))
+    lines = checked_lines(reader.csv(directory), len(columns))
+    return typed_row_id(null_tokens(lines))
 
 
 def publish_stream(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from netgroom.operators.clean import clean_inventory
 from netgroom.operators.owners import correct_owner
 from netgroom.operators.starter import starter_anomalies, starter_clean
-from netgroom.plans.daily import run_daily
+from netgroom.plans.daily import run_daily, run_starter
 from netgroom.session import shared_dir
 from netgroom.sources.readers import (
     read_anomalies,
@@ -143,6 +143,17 @@ def test_daily_run(spark, raw_file, tmp_path):
     ]
 
 
+def test_starter_run(spark, raw_file, tmp_path):
+    done = run_starter(spark, raw_file, str(tmp_path / "o"), "2025-11-04")
+    assert done.rows == 4
+    published = spark.read.option("header", True).csv(done.inventory)
+    assert published.columns[:6] == ["ip", "ip_valid", "ip_version", "subnet_cidr", "normalization_steps", "source_row_id"]
+    records = spark.read.json(done.anomalies).orderBy("source_row_id").collect()
+    assert [(r.source_row_id, r.issues[0].type, r.issues[0].value) for r in records] == [
+        ("2", "wrong_part_count", "N/A"), ("4", "octet_out_of_range", "10.0.0.300"),
+    ]
+
+
 def test_daily_run_with_models_and_failures(spark, raw_file, tmp_path):
     def down(payload):
         raise ConnectionError("down")

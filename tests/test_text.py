@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from netgroom.functions import text
 from netgroom.functions.owner import EMAIL
+from netgroom.operators.textscan import QUAD, text_ipv4
 
 SPACES = [chr(c) for c in range(sys.maxunicode + 1) if chr(c).isspace()]
 
@@ -52,3 +53,15 @@ def test_email_pattern_finds_what_python_finds(spark):
     for value, row in zip(values, rows.collect()):
         assert row.found == python.findall(value), value
         assert row.rest == python.sub("", value), value
+
+
+def test_dotted_numbers_in_long_texts(spark):
+    python = re.compile(r"[0-9]+(?:[.][0-9]+){3,}")
+    values = ["a1.2.3.4b 5.6.7", "1.2.3.4.5..6.7.8.9.", "7" * 50000, ".1.2.3.4", "1." * 30000 + "1", "v1.22.333.444, x"]
+    rows = _one_column(spark, values).select(F.regexp_extract_all("t", F.lit(QUAD), F.lit(0)).alias("found")).collect()
+    assert [r.found for r in rows] == [python.findall(v) for v in values]
+    df = spark.createDataFrame([(1, "at 010.0.0.1 or 1.2.3.256"), (2, "none")], "k long, t string")
+    assert [tuple(r) for r in text_ipv4(df, "k", "t").collect()] == [
+        (1, 0, "010.0.0.1", "10.0.0.1", True, "ok", "private_rfc1918"),
+        (1, 1, "1.2.3.256", None, False, "octet_out_of_range", "invalid"),
+    ]
