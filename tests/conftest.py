@@ -13,4 +13,4 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    return tune(local_session("tests", 4, spark__sql__shuffle__partitions="4"))
+    return tune(local_session("tests", 8, spark__sql__shuffle__partitions="4"))
