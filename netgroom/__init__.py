@@ -1 +1,28 @@
 """Cleaning, validation and auditing of network inventories on Spark."""
+
+from netgroom.operators.anomalies import all_anomalies, detect_anomalies, duplicate_mac
+from netgroom.operators.clean import clean_fields, clean_inventory, normalization_log
+from netgroom.operators.owners import correct_owner, merge_owner, propose_owner
+from netgroom.plans.daily import run_daily, run_starter
+from netgroom.session import tune
+from netgroom.sources.readers import read_clean, read_raw
+from netgroom.streaming.ingest import publish_stream, raw_stream
+
+__all__ = [
+    "all_anomalies",
+    "clean_fields",
+    "clean_inventory",
+    "correct_owner",
+    "detect_anomalies",
+    "duplicate_mac",
+    "merge_owner",
+    "normalization_log",
+    "propose_owner",
+    "publish_stream",
+    "raw_stream",
+    "read_clean",
+    "read_raw",
+    "run_daily",
+    "run_starter",
+    "tune",
+]

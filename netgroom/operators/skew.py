@@ -23,15 +23,17 @@ def lookup(rows: DataFrame, table: DataFrame, key: str, hot: DataFrame, how: str
     ``hot`` holds the hot keys with the columns of ``table``.  Rows of a hot key
     get their answer from this small broadcast and are not shuffled, nor are
     rows without a key.  All others take an ordinary join, in which every key
-    is small.  Without hot keys the first part costs nothing: adaptive execution
-    drops joins with an empty broadcast.
+    is small.  Usually the first two parts cost nothing: adaptive execution
+    drops joins with an empty broadcast, and a stored table without missing
+    keys is skipped by its statistics.
     """
     answers = [c for c in table.columns if c != key]
-    columns = [*rows.columns, *answers]
     small = hot.select(key, F.struct(*answers).alias("_hot"))
-    near = rows.join(F.broadcast(small), key, "left")
-    is_hot, no_key = F.col("_hot").isNotNull(), F.col(key).isNull()
-    direct = near.where(is_hot if how == "inner" else is_hot | no_key)
-    direct = direct.select(*rows.columns, *[F.col(f"_hot.{c}").alias(c) for c in answers])
-    spread = near.where(~is_hot & ~no_key).select(*rows.columns).join(table, key, how)
-    return direct.unionByName(spread.select(*columns))
+    near = rows.where(F.col(key).isNotNull()).join(F.broadcast(small), key, "left")
+    is_hot = F.col("_hot").isNotNull()
+    direct = near.where(is_hot).select(*rows.columns, *[F.col(f"_hot.{c}").alias(c) for c in answers])
+    spread = near.where(~is_hot).select(*rows.columns).join(table, key, how)
+    found = direct.unionByName(spread.select(*rows.columns, *answers))
+    if how == "inner":
+        return found
+    return found.unionByName(rows.where(F.col(key).isNull()), allowMissingColumns=True)

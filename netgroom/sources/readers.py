@@ -18,9 +18,9 @@ CORRUPT = "_corrupt_line"
 def _csv_path(path: str | None) -> str:
     if not path:
         raise ValueError("missing path of the inventory")
-    ending = os.path.splitext(path.rstrip("/"))[1].lower()
-    if ending not in ("", ".csv"):
-        raise ValueError(f"not a CSV file: {path}")
+    ending = os.path.splitext(path)[1].lower()
+    if not path.endswith("/") and ending not in ("", ".csv"):
+        raise ValueError(f"not a CSV file: {path} (directories may end in /)")
     return path
 
 

@@ -176,6 +176,8 @@ def test_daily_run_with_models_and_failures(spark, raw_file, tmp_path):
     done = run_daily(spark, raw_file, str(tmp_path / "o"), "2025-11-06", str(tmp_path / "w"), proposals=proposals, find_anomalies=None)
     assert (done.anomalies, done.unknown_proposals) == (None, 1)
     assert {r.source_row_id: r.owner for r in read_clean(spark, done.inventory).collect()}[1] == "zoe"
+    done = run_daily(spark, raw_file, str(tmp_path / "o"), "2025-11-07", str(tmp_path / "w"), anomaly_model=down)
+    assert (done.anomalies, done.rows) == (None, 4)
 
 
 def test_shared_folder_comes_from_the_session(spark):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from netgroom.operators.anomalies import detect_anomalies, duplicate_mac
 from netgroom.operators.clean import clean_fields, clean_inventory, normalization_log
-from netgroom.operators.owners import correct_owner, merge_owner
+from netgroom.operators.owners import correct_owner, merge_owner, propose_owner
 from netgroom.operators.payload import owner_payloads
 from netgroom.operators.reports import preview, quality_report
 from netgroom.plans.fixture import inventory, proposals
@@ -88,6 +88,18 @@ def test_no_cross_join(spark, stored):
         assert "CartesianProduct" not in plan(df) and "BroadcastNestedLoopJoin" not in plan(df)
 
 
+def test_stored_table_is_read_twice_for_the_merge(spark, stored):
+    """Without hot or missing keys: once to count the keys (only the key column), once to join."""
+    clean = stored[1]
+    merged = merge_owner(clean, propose_owner(clean))
+    merged.collect()
+    final = merged._sc._jvm.PythonSQLUtils.explainString(merged._jdf.queryExecution(), "simple")
+    final = final[: final.index("Initial Plan")] if "Initial Plan" in final else final
+    wide = [s for s in re.findall(r"FileScan parquet \[(.*?)\]", final) if "hostname" in s]
+    assert len(wide) == 2
+    assert "PushedFilters: [IsNull(source_row_id)]" in final
+
+
 def test_broadcasts_are_bounded(stored):
     """Every hinted broadcast in the join of shared addresses is the limited list of hot keys."""
     hinted = duplicate_mac(stored[1])._jdf.queryExecution().logical().toString()
