@@ -29,7 +29,8 @@ def lookup(rows: DataFrame, table: DataFrame, key: str, hot: DataFrame, how: str
     """
     answers = [c for c in table.columns if c != key]
     small = hot.select(key, F.struct(*answers).alias("_hot"))
-    near = rows.where(F.col(key).isNotNull()).join(F.broadcast(small), key, "left")
+    present = rows if how == "inner" else rows.where(F.col(key).isNotNull())
+    near = present.join(F.broadcast(small), key, "left")
     is_hot = F.col("_hot").isNotNull()
     direct = near.where(is_hot).select(*rows.columns, *[F.col(f"_hot.{c}").alias(c) for c in answers])
     spread = near.where(~is_hot).select(*rows.columns).join(table, key, how)
