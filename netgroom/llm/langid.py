@@ -5,11 +5,13 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from netgroom.llm.common import map_texts, table, texts
+from netgroom.llm.text import chunks
 
 #: Bounds of the training sample: documents per language and bytes of normalised text per language.
 SAMPLE_DOCS = 64
@@ -143,6 +145,21 @@ def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     return map_texts(texts(df, id_col, text_col), schema, make).withColumnRenamed("id", id_col)
 
 
+def keep_identified(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` whose text has a language (is not ``und``), with all their columns."""
+    shared = df.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        learned = shared.value
+        walks = learned.walkers()
+        for batch in batches:
+            for part in chunks(batch, text_col):
+                column = part.column(part.schema.get_field_index(text_col)).to_pylist()
+                yield part.filter(pa.array([learned.predict(t, walks)[0] != "und" for t in column], pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
