@@ -87,7 +87,7 @@ def top_k(queries: DataFrame, rows: DataFrame, k: int = 20) -> DataFrame:
     nr, nq = -(-rows.count() // ROWS) or 1, -(-queries.count() // QUERIES) or 1
     left = rows.withColumn("r", F.pmod(F.xxhash64("id"), F.lit(nr))).withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(nq - 1))))
     right = queries.withColumn("q", F.pmod(F.xxhash64("id"), F.lit(nq)).cast("int")).withColumn(
-        "r", F.explode(F.sequence(F.lit(0), F.lit(nr - 1))).cast("long")
+        "r", F.explode(F.expr(f"sequence(0L, {nr - 1}L)"))
     )
 
     def block(x: pa.Table, y: pa.Table) -> pa.Table:
@@ -126,6 +126,6 @@ WITH v AS (
   FROM v q JOIN v r ON q.vec_id % 20 = 0 AND q.vec_id <> r.vec_id AND len(q.v) = len(r.v)
 )
 SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM s
-QUALIFY row_number() OVER w <= 20
 WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 20
 """

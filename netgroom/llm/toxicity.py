@@ -13,7 +13,7 @@ from netgroom.llm.text import ALNUM, LOWER, buffers, chunks, hash_spans, mix, te
 BITS = 18
 #: Bound of the training sample: documents of each label, taken by the least hash of their id.
 SAMPLE = 3000
-ALPHA, BETA, L1, L2, EPOCHS = 0.1, 1.0, 1.0, 1.0, 5
+ALPHA, BETA, L1, L2, EPOCHS = 1.0, 1.0, 6.0, 1.0, 10
 #: Gaps of the word pairs: 1 is a bigram, 2 a skip-gram.
 GAPS = (1, 2)
 
