@@ -19,7 +19,7 @@ COUNTERS = 1 << 20
 #: Ranges of hashes that the suffix filter counts.
 RANGES = 16
 #: Rounds that link by a few centres before the remaining pairs are enumerated.
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
 
 
 def shingle_sets(column: pa.Array, size: int) -> list[np.ndarray]:
@@ -197,7 +197,6 @@ def jaccard_classes(
     entries = stored(_prefixes(chosen, size, percent, counts))
 
     node = reps.select(F.col("rep").alias("node"))
-    links = None
     classes = node.withColumn("component", F.col("node"))
     done = None
     for turn in range(STAR_ROUNDS):
@@ -214,9 +213,7 @@ def jaccard_classes(
             pairs = pairs.join(done, ["a", "b"], "left_anti")
         pairs = stored(pairs)
         done = pairs if done is None else done.unionByName(pairs)
-        found = stored(_verified(pairs, chosen, size, percent))
-        links = found if links is None else links.unionByName(found)
-        classes = _classes(node, links)
+        classes = _merged(classes, _verified(pairs, chosen, size, percent))
     now = entries.join(classes.withColumnRenamed("node", "id"), "id")
     mixed = now.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("gram")
     rest = stored(now.join(mixed, "gram"))
@@ -224,8 +221,7 @@ def jaccard_classes(
     y = rest.select("gram", *(F.col(c).alias(f"{c}2") for c in ("id", "at", "n", "component")))
     pairs = x.join(y, "gram").where("id1 < id2 and component1 <> component2").where(_possible(percent, "n1", "n2", "at1", "at2"))
     pairs = pairs.select(F.col("id1").alias("a"), F.col("id2").alias("b")).distinct().join(done, ["a", "b"], "left_anti")
-    links = links.unionByName(stored(_verified(stored(pairs), chosen, size, percent)))
-    classes = _classes(node, links)
+    classes = _merged(classes, _verified(stored(pairs), chosen, size, percent))
 
     # smallest id of a class is that of its representatives, each being the smallest of its copies
     named = reps.join(classes.withColumnRenamed("node", "rep"), "rep").select("n", "h1", "h2", "component")
@@ -237,10 +233,14 @@ def jaccard_classes(
     )
 
 
-def _classes(node: DataFrame, links: DataFrame) -> DataFrame:
-    return stored(
-        node.join(components(links), "node", "left").select("node", F.coalesce("component", "node").alias("component"))
-    )
+def _merged(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """Classes after new links; only links between classes are followed, as edges of class ids."""
+    left = classes.select(F.col("node").alias("a"), F.col("component").alias("ca"))
+    right = classes.select(F.col("node").alias("b"), F.col("component").alias("cb"))
+    edges = links.join(left, "a").join(right, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+    new = components(edges).select(F.col("node").alias("component"), F.col("component").alias("lower"))
+    joined = classes.join(new, "component", "left")
+    return stored(joined.select("node", F.coalesce("lower", "component").alias("component")))
 
 
 def op9_jaccard(spark, sf_dir):

@@ -96,7 +96,7 @@ def windows(hashes: np.ndarray, text_of: np.ndarray, size: int) -> tuple[np.ndar
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     total = np.zeros(n, np.uint64)
     for k in range(size):
-        total += mix(hashes[k : k + n] + np.uint64(k + 1) * _MULTIPLIER)
+        total += mix(hashes[k : k + n] + np.uint64((k + 1) * int(_MULTIPLIER) % (1 << 64)))
     whole = text_of[:n] == text_of[size - 1 :]
     return mix(total[whole]), np.flatnonzero(whole)
 
