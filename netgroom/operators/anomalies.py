@@ -107,6 +107,8 @@ def detect_anomalies(clean: DataFrame, rules: Sequence[Rule] | None = None) -> D
     filter would be pushed below the cleaning and repeat it in its condition.
     """
     rules = DEFAULT_RULES if rules is None else rules
+    if not rules:
+        return clean.sparkSession.createDataFrame([], ANOMALY)
     number = F.coalesce(*[F.when(F.expr(r.condition), i) for i, r in enumerate(rules)])
     report = F.coalesce(
         *[

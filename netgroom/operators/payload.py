@@ -21,14 +21,6 @@ from netgroom.sources.schema import ANOMALY, ANOMALY_INPUT_COLUMNS, OWNER_COLUMN
 ROWS_PER_CALL = 500
 
 
-def _to_json(part: pd.DataFrame, key: str, columns: Sequence[str]) -> str:
-    ids = part[key].astype(str)
-    return json.dumps(
-        {c: {i: None if pd.isna(v) else v for i, v in zip(ids, part[c].tolist())} for c in columns},
-        ensure_ascii=False,
-    )
-
-
 def payloads(
     df: DataFrame, columns: Sequence[str], key: str = "source_row_id", rows_per_call: int = ROWS_PER_CALL
 ) -> DataFrame:
@@ -39,13 +31,21 @@ def payloads(
     """
     columns = list(columns)
 
+    # local, so that it travels to the executors with the task
+    def to_json(part: pd.DataFrame) -> str:
+        ids = part[key].astype(str)
+        return json.dumps(
+            {c: {i: None if pd.isna(v) else v for i, v in zip(ids, part[c].tolist())} for c in columns},
+            ensure_ascii=False,
+        )
+
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for start in range(0, len(batch), rows_per_call):
                 chunk = batch.iloc[start : start + rows_per_call]
                 copies = chunk.groupby(key).cumcount()
                 for _, part in chunk.groupby(copies):
-                    yield pd.DataFrame({"n_rows": [len(part)], "payload": [_to_json(part, key, columns)]})
+                    yield pd.DataFrame({"n_rows": [len(part)], "payload": [to_json(part)]})
 
     wanted = df.where(F.col(key).isNotNull()).select(*dict.fromkeys([key, *columns]))
     return wanted.mapInPandas(cut, "n_rows long, payload string")

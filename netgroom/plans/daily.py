@@ -49,8 +49,9 @@ def run_daily(
     written table, so a failed run can be repeated and later stages do not
     recompute earlier ones.  Owners are corrected by given ``proposals``, by
     the replies of ``owner_model``, or by rule.  Failed model calls leave their
-    rows as they are.  With ``find_anomalies=None``, or when every call of
-    ``anomaly_model`` failed, only the table is published.
+    rows as they are.  With ``find_anomalies=None``, or when any call of
+    ``anomaly_model`` failed, only the table is published: a part of the anomalies
+    would look like all of them.
     """
     work = f"{shared_dir(spark)}/netgroom" if work is None else work
     tune(spark)
@@ -74,7 +75,7 @@ def run_daily(
     found = None
     if anomaly_model is not None:
         replies = _asked(spark, anomaly_payloads(corrected), anomaly_model, f"{work}/anomaly_replies", run_date)
-        if not replies.where("reply IS NOT NULL").isEmpty():
+        if replies.where("reply IS NULL").isEmpty():
             found = anomaly_reply_rows(replies)
     elif find_anomalies is not None:
         found = find_anomalies(corrected)

@@ -131,14 +131,8 @@ FROM (SELECT o_orderkey AS id, o_custkey % 256 AS a, o_orderkey % 251 AS b FROM
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """Columns of a given table.
-
-    A table of fewer splits than the cluster has cores, such as a single small
-    file, is spread over them first; a large table is left as it is split.
-    """
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """Columns of a given table, as its files are split."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
 def _derive(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:

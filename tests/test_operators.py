@@ -20,6 +20,7 @@ from netgroom.operators.payload import (
     owner_payloads,
     owner_reply_rows,
 )
+from netgroom.plans import fixture
 from netgroom.operators.skew import hot_keys, lookup
 
 RAW = "source_row_id long, ip string, hostname string, fqdn string, mac string, owner string, device_type string, site string"
@@ -225,3 +226,9 @@ def test_replies_with_gaps_and_rubbish(spark):
         "reply string",
     )
     assert [tuple(r) for r in anomaly_reply_rows(lists).collect()] == [(2, ["ip"], "i", "drop", 100)]
+
+
+def test_no_rules_no_anomalies(spark):
+    clean = clean_inventory(fixture.inventory(spark, "/root/testdata/sf0.001"))
+    none = detect_anomalies(clean, [])
+    assert none.count() == 0 and none.columns == detect_anomalies(clean).columns
