@@ -73,20 +73,32 @@ def word_spans(raw: np.ndarray, at: np.ndarray, table: np.ndarray) -> tuple[np.n
     return np.flatnonzero(begins), np.flatnonzero(ends) + 1
 
 
+_INVERSE = np.uint64(pow(int(_MULTIPLIER), -1, 1 << 64))
+_powers = (np.ones(1, np.uint64), np.ones(1, np.uint64))
+
+
+def _powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the multiplier and of its inverse, at least ``n`` of each; kept for the worker's next chunk."""
+    global _powers
+    if len(_powers[0]) < n:
+        grown = []
+        for base in (_MULTIPLIER, _INVERSE):
+            x = np.full(max(n, CHUNK_BYTES), base, np.uint64)
+            x[0] = 1
+            grown.append(np.multiply.accumulate(x))
+        _powers = (grown[0], grown[1])
+    return _powers
+
+
 def hash_spans(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of the bytes of each span; spans are in order and do not overlap."""
+    """64-bit hash of the bytes of each span: differences of one running polynomial over all bytes."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    sizes = ends - starts
-    first = np.zeros(len(sizes), np.int64)
-    np.cumsum(sizes[:-1], out=first[1:])
-    within = np.arange(int(sizes.sum())) - np.repeat(first, sizes)
-    powers = np.full(int(sizes.max()), _MULTIPLIER, np.uint64)
-    powers[0] = 1
-    np.multiply.accumulate(powers, out=powers)
-    inside = np.repeat(starts, sizes) + within
-    sums = np.add.reduceat(_BYTE_VALUE[raw[inside]] * powers[within], first)
-    return mix(sums ^ (sizes.astype(np.uint64) * _MULTIPLIER))
+    power, inverse = _powers_to(len(raw))
+    total = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_BYTE_VALUE[raw] * power[: len(raw)], out=total[1:])
+    sums = (total[ends] - total[starts]) * inverse[starts]
+    return mix(sums ^ ((ends - starts).astype(np.uint64) * _MULTIPLIER))
 
 
 def windows(hashes: np.ndarray, text_of: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
