@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from netgroom.llm.common import components, stored, table, texts
@@ -15,9 +15,13 @@ from netgroom.llm.text import LOWER, NOT_SPACE, buffers, chunks, hash_spans, mix
 SIZE, PERCENT = 4, 85
 
 #: Counters of hashed shingles; their number, and so the broadcast, is fixed.
-COUNTERS = 1 << 20
+COUNTERS = 1 << 18
 #: Ranges of hashes that the suffix filter counts.
 RANGES = 16
+#: Earlier shingles of a prefix by which a pair met again is left out.
+EARLIER = 8
+#: 64-bit words of the parity bitmap of a set.
+PARITY_WORDS = 8
 #: Rounds that link by a few centres before the remaining pairs are enumerated.
 STAR_ROUNDS = 2
 
@@ -53,8 +57,21 @@ def _map_sets(rows: DataFrame, size: int, schema: str, make) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
+def parity(sets: list[np.ndarray]) -> pa.Array:
+    """Whether the number of a set's shingles in each of 512 classes is odd, as 8 longs.
+
+    Bitmaps of two sets differ in no more bits than the sets differ in shingles.
+    """
+    size = 64 * PARITY_WORDS
+    bits = np.zeros((len(sets), PARITY_WORDS), np.int64)
+    for k, s in enumerate(sets):
+        odd = np.bincount((mix(s) % np.uint64(size)).astype(np.int64), minlength=size) & 1
+        bits[k] = np.packbits(odd.astype(np.uint8)).view(np.int64)
+    return pa.ListArray.from_arrays(np.arange(len(sets) + 1, dtype=np.int32) * PARITY_WORDS, bits.ravel())
+
+
 def _sets_table(rows: DataFrame, size: int) -> DataFrame:
-    """(id, n, h1, h2): size of the set and a 128-bit signature of it."""
+    """(id, n, h1, h2, bits): size of the set, a 128-bit signature and a parity bitmap of it."""
 
     def make():
         def work(part, sets):
@@ -62,13 +79,13 @@ def _sets_table(rows: DataFrame, size: int) -> DataFrame:
             h1 = np.array([mix(s).sum(dtype=np.uint64) for s in sets], np.uint64)
             h2 = np.array([mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64) for s in sets], np.uint64)
             return pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(n, pa.int64()), pa.array(signed(h1)), pa.array(signed(h2))],
-                ["id", "n", "h1", "h2"],
+                [part.column(0), pa.array(n, pa.int64()), pa.array(signed(h1)), pa.array(signed(h2)), parity(sets)],
+                ["id", "n", "h1", "h2", "bits"],
             )
 
         return work
 
-    return _map_sets(rows, size, "id long, n long, h1 long, h2 long", make)
+    return _map_sets(rows, size, "id long, n long, h1 long, h2 long, bits array<long>", make)
 
 
 def _counters(rows: DataFrame, size: int) -> np.ndarray:
@@ -78,9 +95,8 @@ def _counters(rows: DataFrame, size: int) -> np.ndarray:
         total = np.zeros(COUNTERS, np.int64)
         for batch in batches:
             for part in chunks(batch, "text"):
-                for s in shingle_sets(part.column(part.schema.get_field_index("text")), size):
-                    # a set's shingles may share a counter
-                    np.add.at(total, (s % np.uint64(COUNTERS)).astype(np.int64), 1)
+                sets = shingle_sets(part.column(part.schema.get_field_index("text")), size)
+                total += np.bincount((np.concatenate(sets) % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["at", "n"])
 
@@ -129,13 +145,19 @@ def _prefixes(rows: DataFrame, size: int, percent: int, counts) -> DataFrame:
 
 def _possible(percent: int, n1: str, n2: str, at1: str, at2: str):
     """Length and positional filter: the shingles from here on must suffice for the similarity."""
-    need = f"ceil({percent} * ({n1} + {n2}) / {100 + percent}.0)"
+    need = f"({percent} * ({n1} + {n2}) + {99 + percent}) div {100 + percent}"
     return F.expr(
         f"100 * least({n1}, {n2}) >= {percent} * greatest({n1}, {n2}) "
         f"and 1 + least({n1} - {at1} - 1, {n2} - {at2} - 1) + least({at1}, {at2}) >= {need}"
     )
 
 
+def _near(percent: int, n1: str, n2: str, bits1: str, bits2: str):
+    """Bitmap filter: linked sets differ in at most n1 + n2 - 2 * (least intersection) shingles."""
+    differ = " + ".join(f"bit_count({bits1}[{k}] ^ {bits2}[{k}])" for k in range(PARITY_WORDS))
+    return F.expr(f"{differ} <= {n1} + {n2} - 2 * (({percent} * ({n1} + {n2}) + {99 + percent}) div {100 + percent})")
+
+
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     """Exact test of two sorted sets, after the suffix filter on counts of hash ranges."""
     if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
@@ -190,11 +212,14 @@ def jaccard_classes(
     rows = texts(df, id_col, text_col)
     spark = df.sparkSession
     sets = stored(_sets_table(rows, size))
-    reps = sets.where("n > 0 and id is not null").groupBy("n", "h1", "h2").agg(F.min("id").alias("rep"))
-    reps = stored(reps)
+    reps = sets.where("n > 0 and id is not null").groupBy("n", "h1", "h2").agg(F.min(F.struct("id", "bits")).alias("r"))
+    reps = stored(reps.select("n", "h1", "h2", F.col("r.id").alias("rep"), F.col("r.bits").alias("bits")))
     chosen = stored(rows.join(reps.select(F.col("rep").alias("id")), "id").select("id", "text"))
     counts = spark.sparkContext.broadcast(_counters(chosen, size))
-    entries = stored(_prefixes(chosen, size, percent, counts))
+    every = stored(_prefixes(chosen, size, percent, counts))
+    # most shingles stand in one prefix only and can pair nothing
+    common = every.groupBy("gram").agg(F.count("*").alias("members")).where("members > 1").select("gram")
+    entries = stored(every.join(common, "gram"))
 
     node = reps.select(F.col("rep").alias("node"))
     classes = node.withColumn("component", F.col("node"))
@@ -216,10 +241,16 @@ def jaccard_classes(
         classes = _merged(classes, _verified(pairs, chosen, size, percent))
     now = entries.join(classes.withColumnRenamed("node", "id"), "id")
     mixed = now.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("gram")
-    rest = stored(now.join(mixed, "gram"))
-    x = rest.select("gram", *(F.col(c).alias(f"{c}1") for c in ("id", "at", "n", "component")))
-    y = rest.select("gram", *(F.col(c).alias(f"{c}2") for c in ("id", "at", "n", "component")))
-    pairs = x.join(y, "gram").where("id1 < id2 and component1 <> component2").where(_possible(percent, "n1", "n2", "at1", "at2"))
+    bitmaps = reps.select(F.col("rep").alias("id"), "bits")
+    before = Window.partitionBy("id").orderBy("at", "gram").rowsBetween(-EARLIER, -1)
+    rest = now.join(mixed, "gram").withColumn("earlier", F.collect_list("gram").over(before))
+    rest = stored(rest.join(bitmaps, "id"))
+    x = rest.select("gram", *(F.col(c).alias(f"{c}1") for c in ("id", "at", "n", "component", "bits", "earlier")))
+    y = rest.select("gram", *(F.col(c).alias(f"{c}2") for c in ("id", "at", "n", "component", "bits", "earlier")))
+    pairs = x.join(y, "gram").where("id1 < id2 and component1 <> component2")
+    pairs = pairs.where(_possible(percent, "n1", "n2", "at1", "at2")).where(_near(percent, "n1", "n2", "bits1", "bits2"))
+    # a pair that shares an earlier shingle of both is made there
+    pairs = pairs.where(~F.arrays_overlap("earlier1", "earlier2"))
     pairs = pairs.select(F.col("id1").alias("a"), F.col("id2").alias("b")).distinct().join(done, ["a", "b"], "left_anti")
     classes = _merged(classes, _verified(stored(pairs), chosen, size, percent))
 
