@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 
 import regex
 from pyspark.sql import DataFrame
@@ -32,56 +33,89 @@ class Bpe:
         self.bytes_of = {i: b for b, i in ranks.items()}
         self.split = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
         self.longest = max(map(len, ranks))
-        self.reachable: dict[bytes, bool] = {}
+        #: Every token's id, and -1 for what only begins a token.
+        self.begins = {b[:k]: -1 for b in ranks for k in range(1, len(b))} | ranks
+        #: Merging steps of the tokens tried so far; None for those that do not merge to themselves.
+        self.traces: dict[int, list[tuple[float, bytes, bytes]] | None] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
+        #: Pieces seen lately and those before them: two bounded generations.
         self.pieces: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
 
-    def merge(self, data: bytes) -> list[bytes]:
-        """Plain merging; only for single tokens and pairs, whose length is bounded."""
+    def steps(self, data: bytes) -> list[tuple[float, bytes, bytes]]:
+        """Merging of a single token: before each merge its rank, the first and the last part; at the end no rank."""
         parts = [data[i : i + 1] for i in range(len(data))]
-        ranks = self.ranks
-        while len(parts) > 1:
-            best, at = None, -1
+        ranks, out = self.ranks, []
+        while True:
+            best, at = math.inf, -1
             for i in range(len(parts) - 1):
                 r = ranks.get(parts[i] + parts[i + 1])
-                if r is not None and (best is None or r < best):
+                if r is not None and r < best:
                     best, at = r, i
-            if best is None:
-                break
+            out.append((best, parts[0], parts[-1]))
+            if at < 0:
+                return out
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return parts
 
-    def _token(self, data: bytes) -> int | None:
-        known = self.reachable.get(data)
-        if known is None:
-            known = self.reachable[data] = data in self.ranks and self.merge(data) == [data]
-        return self.ranks[data] if known else None
+    def _trace(self, token: int, data: bytes) -> list[tuple[float, bytes, bytes]] | None:
+        trace = self.steps(data)
+        self.traces[token] = trace if trace[-1][1] == data else None
+        return self.traces[token]
 
     def _pair(self, left: int, right: int) -> bool:
-        key = (left, right)
-        known = self.pairs.get(key)
-        if known is None:
-            if len(self.pairs) >= 10 * CACHE:
-                self.pairs.clear()
-            a, b = self.bytes_of[left], self.bytes_of[right]
-            known = self.pairs[key] = self.merge(a + b) == [a, b]
-        return known
+        """Whether two valid tokens, merged together, stay as they are.
+
+        Both merge on their own, the lower rank first and the left one of equal
+        ranks, until a merge over their border comes first or both are done.
+        """
+        a, b, ranks, i, j = self.traces[left], self.traces[right], self.ranks, 0, 0
+        while True:
+            rank_a, _, last = a[i]
+            rank_b, first, _ = b[j]
+            over = ranks.get(last + first)
+            if over is not None and over < rank_a and over <= rank_b:
+                return False
+            if rank_a <= rank_b:
+                if rank_a == math.inf:
+                    return True
+                i += 1
+            else:
+                j += 1
 
     def append(self, data: bytes, last: list[int], until: int | None = None) -> list[int]:
-        """Extend ``last``, the last token of each prefix done so far, to all prefixes of ``data``."""
-        for end in range(len(last) + 1, (len(data) if until is None else until) + 1):
-            found = -1
-            for start in range(max(0, end - self.longest), end):
-                chunk = data[start:end]
-                if chunk not in self.ranks:
-                    continue
-                token = self._token(chunk)
-                if token is not None and (start == 0 or self._pair(last[start - 1], token)):
-                    found = token
+        """Extend ``last``, the last token of each prefix done so far, to all prefixes of ``data``.
+
+        Tokens are tried by ascending start, when the last token before the start is known.
+        """
+        begins, traces, pairs, done = self.begins, self.traces, self.pairs, len(last)
+        n = len(data) if until is None else until
+        last.extend([-1] * (n - done))
+        left = -1
+        for start in range(max(0, done + 1 - self.longest), n):
+            if start:
+                left = last[start - 1]
+                if left < 0:
+                    raise ValueError("the vocabulary lacks single bytes")
+            for end in range(start + 1, n + 1):
+                token = begins.get(data[start:end])
+                if token is None:
                     break
-            if found < 0:
-                raise ValueError("the vocabulary lacks single bytes")
-            last.append(found)
+                if token < 0 or last[end - 1] >= 0:
+                    continue
+                if (traces[token] if token in traces else self._trace(token, data[start:end])) is None:
+                    continue
+                if start:
+                    key = (left, token)
+                    fits = pairs.get(key)
+                    if fits is None:
+                        if len(pairs) >= 10 * CACHE:
+                            pairs.clear()
+                        fits = pairs[key] = self._pair(left, token)
+                    if not fits:
+                        continue
+                last[end - 1] = token
+        if n > done and last[-1] < 0:
+            raise ValueError("the vocabulary lacks single bytes")
         return last
 
     def replace(self, data: bytes, last: list[int], start: int, end: int, new: bytes) -> tuple[bytes, list[int]]:
@@ -115,15 +149,14 @@ class Bpe:
 
     def encode(self, text: str) -> list[int]:
         out: list[int] = []
-        pieces = self.pieces
         for part in self.split.findall(text):
-            ids = pieces.get(part)
+            ids = self.pieces.get(part)
             if ids is None:
-                ids = self.piece(part)
+                ids = self.older.get(part) or self.piece(part)
                 if len(part) <= 64:
-                    if len(pieces) >= CACHE:
-                        pieces.clear()
-                    pieces[part] = ids
+                    if len(self.pieces) >= CACHE:
+                        self.pieces, self.older = {}, self.pieces
+                    self.pieces[part] = ids
             out.extend(ids)
         return out
 
@@ -131,6 +164,20 @@ class Bpe:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
+#: The encoder of a worker process, kept with its bounded caches for the next tasks of the same vocabulary.
+_kept: dict[tuple, Bpe] = {}
+
+
+def warm(ranks, pattern: str) -> Bpe:
+    """An encoder by broadcast ``ranks`` (digest, table)."""
+    digest, table_of = ranks.value
+    key = (digest, pattern)
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = Bpe(table_of, pattern)
+    return _kept[key]
+
+
 def bpe_digests(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Ids of every text, decoded again: (id, n_tokens, ids_sha256, decoded_sha256, lossless).
 
@@ -138,10 +185,12 @@ def bpe_digests(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
     null or empty text has no tokens; repeated rows are answered each; a very
     long text takes memory in proportion to itself alone.
     """
-    ranks = df.sparkSession.sparkContext.broadcast(read_ranks(path))
+    learned = read_ranks(path)
+    digest = hashlib.sha256(repr(sorted(learned.items())).encode()).hexdigest()
+    ranks = df.sparkSession.sparkContext.broadcast((digest, learned))
 
     def make():
-        bpe = Bpe(ranks.value, pattern)
+        bpe = warm(ranks, pattern)
 
         def work(i, text):
             ids = bpe.encode(text or "")
