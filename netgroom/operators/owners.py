@@ -92,11 +92,7 @@ def merge_owner(
     ).select(*clean.columns)
 
 
-def unknown_proposals(clean: DataFrame, proposals: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def unknown_proposals(clean: DataFrame, proposals: DataFrame) -> DataFrame:
     """Proposals whose row is not in the table, and those without a row id."""
     known = clean.select("source_row_id").distinct()
-    counted = proposals.groupBy("source_row_id").agg(F.count(F.lit(1)).alias("n"))
-    unknown = counted.join(known, "source_row_id", "left_anti").where("source_row_id IS NOT NULL")
-    hot = hot_keys(unknown, "source_row_id", hot_rows)
-    found = lookup(proposals, unknown, "source_row_id", hot, "inner").select(*proposals.columns)
-    return found.unionByName(proposals.where("source_row_id IS NULL"))
+    return proposals.join(known, "source_row_id", "left_anti").select(*proposals.columns)

@@ -102,16 +102,53 @@ def column_rows(texts: DataFrame, text: str, columns: T.StructType, key: str = "
     return parsed.select(F.inline(rows)).withColumnRenamed("row", key)
 
 
+# Confidences are read as text: a model may write 95, 95.0 or "95".
+_OWNER_TEXT = T.StructType([T.StructField(c, T.MapType(T.StringType(), T.StringType())) for c in OWNER_REPLY.names])
+_ANOMALY_TEXT = T.StructType(
+    [T.StructField(f.name, T.StringType()) if isinstance(f.dataType, T.LongType) else f for f in ANOMALY]
+)
+
+
 def owner_reply_rows(replies: DataFrame, reply: str = "reply", first_row_id: int = 0) -> DataFrame:
-    """Replies about owners as proposals, one row each.
+    """Replies about owners as proposals, one row each; unreadable ones give no rows.
 
     ``first_row_id`` is added to the row numbers when a reply counts rows by position.
     """
-    rows = column_rows(replies, reply, OWNER_REPLY)
-    return rows.withColumn("source_row_id", F.col("source_row_id").try_cast("long") + first_row_id)
+    rows = column_rows(replies, reply, _OWNER_TEXT)
+    return rows.withColumns(
+        {
+            "source_row_id": F.col("source_row_id").try_cast("long") + first_row_id,
+            "confidence_percentage": F.col("confidence_percentage").try_cast("double"),
+        }
+    )
+
+
+def unreadable_owner_replies(replies: DataFrame, reply: str = "reply") -> DataFrame:
+    """The replies that hold none of the maps, failed calls included."""
+    parsed = F.from_json(F.col(reply), _OWNER_TEXT)
+    return replies.where(reduce(Column.__and__, [parsed[c].isNull() for c in OWNER_REPLY.names]))
+
+
+def _records(reply: str) -> Column:
+    """The records of a reply; numbers through double, what is no number becomes NULL."""
+    return F.transform(
+        F.from_json(F.col(reply), T.ArrayType(_ANOMALY_TEXT)),
+        lambda r: F.struct(
+            *[
+                (r[f.name].try_cast("double").try_cast("long") if isinstance(f.dataType, T.LongType) else r[f.name]).alias(f.name)
+                for f in ANOMALY
+            ]
+        ),
+    )
 
 
 def anomaly_reply_rows(replies: DataFrame, reply: str = "reply") -> DataFrame:
     """Replies holding a list of anomaly records, one row for each record."""
-    schema = f"array<{ANOMALY.simpleString()}>"
-    return replies.select(F.inline(F.from_json(F.col(reply), schema)))
+    return replies.select(F.inline(_records(reply)))
+
+
+def unreadable_anomaly_replies(replies: DataFrame, reply: str = "reply") -> DataFrame:
+    """The replies that are no list of records with a row id each, failed calls included."""
+    whole = F.forall(_records(reply), lambda r: r["source_row_id"].isNotNull())
+    listed = F.trim(F.col(reply)).startswith("[")
+    return replies.where(~F.coalesce(whole & listed, F.lit(False)))

@@ -10,7 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from netgroom.operators.anomalies import all_anomalies
 from netgroom.operators.clean import clean_inventory
 from netgroom.operators.owners import correct_owner, merge_owner, unknown_proposals
-from netgroom.operators.payload import anomaly_payloads, anomaly_reply_rows, ask, owner_payloads, owner_reply_rows
+from netgroom.operators.payload import (
+    anomaly_payloads,
+    anomaly_reply_rows,
+    ask,
+    owner_payloads,
+    owner_reply_rows,
+    unreadable_anomaly_replies,
+    unreadable_owner_replies,
+)
 from netgroom.operators.starter import starter_anomalies, starter_clean
 from netgroom.session import shared_dir, tune
 from netgroom.sources.readers import read_raw
@@ -24,6 +32,7 @@ class Published:
     anomalies: str | None
     rows: int
     unknown_proposals: int
+    unreadable_replies: int = 0
 
 
 def _asked(spark: SparkSession, payloads: DataFrame, model, base: str, run_date: str) -> DataFrame:
@@ -50,17 +59,20 @@ def run_daily(
     recompute earlier ones.  Owners are corrected by given ``proposals``, by
     the replies of ``owner_model``, or by rule.  Failed model calls leave their
     rows as they are.  With ``find_anomalies=None``, or when any call of
-    ``anomaly_model`` failed, only the table is published: a part of the anomalies
-    would look like all of them.
+    ``anomaly_model`` failed or gave no list of records, only the table is published: a
+    part of the anomalies would look like all of them.  ``unreadable_replies`` counts
+    the failed and unreadable replies of both models.
     """
     work = f"{shared_dir(spark)}/netgroom" if work is None else work
     tune(spark)
     raw = read_raw(spark, source) if isinstance(source, str) else source
     cleaned = spark.read.parquet(write_stage(clean_inventory(raw), f"{work}/cleaned", run_date))
 
+    unreadable = 0
     if proposals is None and owner_model is not None:
         replies = _asked(spark, owner_payloads(cleaned), owner_model, f"{work}/owner_replies", run_date)
         proposals = owner_reply_rows(replies)
+        unreadable += unreadable_owner_replies(replies).count()
     unknown = 0
     if proposals is None:
         corrected = correct_owner(cleaned)
@@ -75,7 +87,9 @@ def run_daily(
     found = None
     if anomaly_model is not None:
         replies = _asked(spark, anomaly_payloads(corrected), anomaly_model, f"{work}/anomaly_replies", run_date)
-        if replies.where("reply IS NULL").isEmpty():
+        bad = unreadable_anomaly_replies(replies).count()
+        unreadable += bad
+        if not bad:
             found = anomaly_reply_rows(replies)
     elif find_anomalies is not None:
         found = find_anomalies(corrected)
@@ -83,7 +97,7 @@ def run_daily(
     if found is not None:
         anomalies = write_json(found.select(*ANOMALY.names), run_path(out, run_date, "anomalies"))
     inventory = run_path(out, run_date, "inventory_clean")
-    return Published(inventory, anomalies, write_csv(corrected, inventory), unknown)
+    return Published(inventory, anomalies, write_csv(corrected, inventory), unknown, unreadable)
 
 
 def run_starter(spark: SparkSession, source: str, out: str, run_date: str) -> Published:

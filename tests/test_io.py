@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from netgroom.operators.clean import clean_inventory
 from netgroom.operators.owners import correct_owner
+from netgroom.operators.payload import anomaly_reply_rows, owner_reply_rows, unreadable_anomaly_replies, unreadable_owner_replies
 from netgroom.operators.starter import starter_anomalies, starter_clean
 from netgroom.plans.daily import run_daily, run_starter
 from netgroom.session import shared_dir
@@ -177,7 +178,21 @@ def test_daily_run_with_models_and_failures(spark, raw_file, tmp_path):
     assert (done.anomalies, done.unknown_proposals) == (None, 1)
     assert {r.source_row_id: r.owner for r in read_clean(spark, done.inventory).collect()}[1] == "zoe"
     done = run_daily(spark, raw_file, str(tmp_path / "o"), "2025-11-07", str(tmp_path / "w"), anomaly_model=down)
-    assert (done.anomalies, done.rows) == (None, 4)
+    assert (done.anomalies, done.rows, done.unreadable_replies) == (None, 4, 1)
+
+
+def test_unreadable_replies_are_found(spark):
+    record = '{"source_row_id": "7", "affected_fields": ["ip"], "issue_type": "odd", "recommended_action": "drop", "anomaly_confidence": %s}'
+    good = [f"[{record % c}]" for c in ("95", "95.0", '"95"')] + ["[]"]
+    bad = ["all is well", f"[{record % 95}"[:-1], '{"anomalies": [%s]}' % (record % 95), '[{"issue_type": "odd"}]', None]
+    replies = spark.createDataFrame([(r,) for r in good + bad], "reply string")
+    assert {r.reply for r in unreadable_anomaly_replies(replies).collect()} == set(bad)
+    rows = anomaly_reply_rows(spark.createDataFrame([(r,) for r in good], "reply string")).collect()
+    assert [(r.source_row_id, r.anomaly_confidence) for r in rows] == [(7, 95)] * 3
+    owners = ['{"owner": {"1": "zoe"}, "confidence_percentage": {"1": "90"}}', "no", '{"owner"', None]
+    replies = spark.createDataFrame([(r,) for r in owners], "reply string")
+    assert {r.reply for r in unreadable_owner_replies(replies).collect()} == set(owners[1:])
+    assert [(r.source_row_id, r.owner, r.confidence_percentage) for r in owner_reply_rows(replies).collect()] == [(1, "zoe", 90.0)]
 
 
 def test_shared_folder_comes_from_the_session(spark):

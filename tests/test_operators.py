@@ -127,9 +127,8 @@ def test_merge_edges(spark):
         5: ("o5", "t5", "e5", "n"),
     }
     assert merged.count() == 7
-    for hot_rows in (0, 100):
-        ghosts = unknown_proposals(table, high_confidence(proposals), hot_rows=hot_rows).collect()
-        assert sorted(r.owner for r in ghosts) == ["ghost", "nobody"]
+    ghosts = unknown_proposals(table, high_confidence(proposals)).collect()
+    assert sorted(r.owner for r in ghosts) == ["ghost", "nobody"]
 
 
 def test_two_proposals_for_a_row_fail(spark):
