@@ -14,6 +14,8 @@ from netgroom.llm.langid import keep_identified, train
 from netgroom.llm.secrets import redact_secrets
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
+#: Near duplicates share 80 percent of their shingles of 5 words; op9_jaccard has a contract of its own.
+SHINGLE, SHARED = 5, 80
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,7 +25,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each class; documents without an id stay."""
-    classes = jaccard_classes(docs)
+    classes = jaccard_classes(docs, size=SHINGLE, percent=SHARED)
     first = classes.where("doc_id = component_id").select("doc_id").distinct()
     kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return kept.unionByName(docs.where("doc_id is null"))

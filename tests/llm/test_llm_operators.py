@@ -204,3 +204,30 @@ def test_pipeline_stages(spark):
     out = corpus_pipeline.run(spark, SMALL).collect()
     assert 0 < len(out) < given.count() and len({r.doc_id for r in out}) == len(out)
     assert all(r.lossless for r in out)
+
+
+def test_pipeline_drops_near_copies_between_both_thresholds(spark):
+    import corpus_pipeline
+
+    rng = random.Random(8)
+    bases = [words(rng, n).split() for n in (50, 50, 120, 30)]
+    rows = []
+    for k in range(40):
+        w = list(bases[k % 4])
+        for at in rng.sample(range(10, len(w) - 10), k // 4 % 3):
+            w[at] = f"other{k}"
+        rows.append((k, " ".join(w)))
+    near = list(bases[0])
+    near[25] = "changed"
+    rows += [(100, " ".join(near)), (101, words(rng, 50))]
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for i, t in rows}
+    root = {i: i for i in sets}
+    for _ in sets:
+        for i in sets:
+            for j in sets:
+                if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                    root[i] = root[j] = min(root[i], root[j])
+    four = [{tuple(w[k : k + 4]) for k in range(47)} for w in (bases[0], near)]
+    assert 100 * len(four[0] & four[1]) < 85 * len(four[0] | four[1]) and root[100] == 0
+    got = corpus_pipeline.near_duplicates(spark, docs(spark, rows), SMALL)
+    assert {r.doc_id for r in got.collect()} == {i for i in root if root[i] == i}
