@@ -231,3 +231,28 @@ def test_pipeline_drops_near_copies_between_both_thresholds(spark):
     assert 100 * len(four[0] & four[1]) < 85 * len(four[0] | four[1]) and root[100] == 0
     got = corpus_pipeline.near_duplicates(spark, docs(spark, rows), SMALL)
     assert {r.doc_id for r in got.collect()} == {i for i in root if root[i] == i}
+
+
+def test_decontamination_follows_edits_of_an_item(spark):
+    rng = random.Random(9)
+    item = "a farmer from the old village sells 2 kg of ripe apples to Anna Smith and keeps 3 kg of sour pears for the long winter ahead of us all"
+    starts = "Anna went out to see the sea. Then she told Carl that Anna would stay. Carl did not reply to her question at all."
+    texts = {
+        1: item.replace("to Anna", "today to Anna"),
+        2: item.replace("old ", ""),
+        3: item.replace("Anna Smith", "Bert"),
+        4: item.replace("2 kg", "4 kg").replace("3 kg", "4 kg"),
+        5: "we saw 7 km of road and 8 km of rail near the city in May",
+        6: starts.replace("Anna", "Dora").replace("Carl", "Emil"),
+        7: "many words stand here, then red green blue and more words",
+        8: item[:40] + words(rng, 40) + item[40:],
+        9: " ".join(w for k, w in enumerate(item.split()) if k % 4),
+        10: "nothing here but 41 of them",
+        11: "nothing here but 42 of them",
+        12: words(rng, 200),
+    }
+    bench = [(1, item), (2, "we saw 5 km of road and 5 km of rail near the city in May"), (3, starts), (4, "red green blue"), (5, "42")]
+    rows = [(k, f"{words(rng, 9)} {t}\n{words(rng, 9)}") for k, t in texts.items()]
+    frame = spark.createDataFrame(bench, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in contaminated(docs(spark, rows), frame).collect()}
+    assert got == {(1, 1), (2, 1), (3, 1), (4, 1), (5, 2), (6, 3), (7, 4), (11, 5)}
