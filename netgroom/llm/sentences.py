@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
@@ -12,12 +11,18 @@ from pyspark.sql import functions as F
 from netgroom.llm.common import map_texts, stored, table, texts
 from netgroom.llm.text import chunks
 
-#: A span is the shortest run of at least so many sentences with at least so many words.
+#: A span has at least so many words, and so many sentences unless one sentence alone has the words.
 SENTENCES, WORDS = 2, 20
 #: Salts over which the documents that share one span are dealt.
 SALTS = 32
 
-_SENTENCE = regex.compile(r"[^.!?\n]+[.!?\n]*\s*|[.!?\n]+\s*")
+#: Sentence ends: of Latin and similar scripts, CJK, Devanagari, Arabic, Urdu, Armenian, Ethiopic, Burmese, Khmer, Tibetan.
+_ENDS = r".!?\n\u2028\u2029。．｡！？।॥؟۔։።፧။៕།"
+_SENTENCE = regex.compile(rf"[^{_ENDS}]+[{_ENDS}]*\s*|[{_ENDS}]+\s*")
+#: Scripts without spaces between words: each letter counts as a word.
+_DENSE = r"\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}\p{Tibetan}"
+_DENSE_LETTER = regex.compile(rf"[{_DENSE}]")
+_WORD = regex.compile(rf"[{_DENSE}]|[^\s{_DENSE}]+")
 
 
 def split(text: str) -> list[str]:
@@ -25,18 +30,40 @@ def split(text: str) -> list[str]:
     return _SENTENCE.findall(text)
 
 
+def n_words(part: str) -> int:
+    if part.isascii() or not _DENSE_LETTER.search(part):
+        return len(part.split())
+    return sum(1 for _ in _WORD.finditer(part))
+
+
 def spans(text: str) -> list[tuple[int, int, int]]:
-    """(first sentence, sentences, hash) of each span; words are compared in lower case, spaces do not count."""
+    """(first sentence, sentences, hash) of each span; words are compared in lower case, spaces do not count.
+
+    Spans are the shortest runs of two sentences or more that start and that end at each sentence,
+    and single sentences, all with at least ``WORDS`` words.
+    """
     parts = [" ".join(s.lower().split()) for s in split(text)]
-    sizes = np.array([len(p.split()) for p in parts], np.int64)
-    total = np.concatenate(([0], np.cumsum(sizes)))
+    total = [0]
+    for p in parts:
+        total.append(total[-1] + n_words(p))
+    n, end, start, runs = len(parts), 0, 0, set()
+    for k in range(n):
+        if total[k + 1] - total[k] >= WORDS:
+            runs.add((k, k + 1))
+        while end <= n and (end < k + SENTENCES or total[end] - total[k] < WORDS):
+            end += 1
+        if end <= n:
+            runs.add((k, end))
+        last = k + 1
+        # the latest start from which the words up to here suffice
+        while start + 1 <= last - SENTENCES and total[last] - total[start + 1] >= WORDS:
+            start += 1
+        if start <= last - SENTENCES and total[last] - total[start] >= WORDS:
+            runs.add((start, last))
     out = []
-    for k in range(len(parts)):
-        end = max(k + SENTENCES, int(np.searchsorted(total, total[k] + WORDS)))
-        if end > len(parts):
-            break
-        digest = xxhash.xxh3_64_intdigest("\x1f".join(parts[k:end]))
-        out.append((k, end - k, digest - (1 << 64) if digest >> 63 else digest))
+    for first, end in sorted(runs):
+        digest = xxhash.xxh3_64_intdigest("\x1f".join(parts[first:end]))
+        out.append((first, end - first, digest - (1 << 64) if digest >> 63 else digest))
     return out
 
 

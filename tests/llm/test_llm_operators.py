@@ -256,3 +256,31 @@ def test_decontamination_follows_edits_of_an_item(spark):
     frame = spark.createDataFrame(bench, "item_id long, text string")
     got = {(r.doc_id, r.item_id) for r in contaminated(docs(spark, rows), frame).collect()}
     assert got == {(1, 1), (2, 1), (3, 1), (4, 1), (5, 2), (6, 3), (7, 4), (11, 5)}
+
+
+def test_sentences_alone_and_at_the_end_of_a_passage_go(spark):
+    rng = random.Random(10)
+    long, flat = words(rng, 55) + ". ", words(rng, 70)
+    tail = f"{words(rng, 30)}. " + " ".join(f"{words(rng, 6)}." for _ in range(2)) + " "
+    cjk = "".join("".join(rng.choice("天地玄黄宇宙洪荒日月盈昃") for _ in range(9)) + "。" for _ in range(6))
+    rows = []
+    for k in range(3):
+        rows += [(k, f"{words(rng, 9)}. {long}{words(rng, 9)}."), (10 + k, flat), (20 + k, cjk), (30 + k, f"{words(rng, 25)}. {tail}{words(rng, 25)}.")]
+    got = {r.doc_id: r for r in dedup_sentences(docs(spark, rows)).collect()}
+    for i, text in rows:
+        gone = "" if i % 10 == 0 else {0: long, 1: flat, 2: cjk, 3: tail}[i // 10]
+        assert got[i].text == (text.replace(gone, "") if gone else text), i
+
+
+def test_spans_equal_all_shortest_runs():
+    from netgroom.llm.sentences import spans
+
+    rng = random.Random(11)
+    for _ in range(300):
+        sizes = [rng.choice([1, 3, 8, 19, 20, 30]) for _ in range(rng.randrange(9))]
+        total = lambda a, b: sum(sizes[a:b])
+        n = len(sizes)
+        runs = [(a, b) for a in range(n) for b in range(a + 2, n + 1) if total(a, b) >= 20]
+        want = {(a, b) for a, b in runs if (a, b - 1) not in runs or (a + 1, b) not in runs} | {(a, a + 1) for a in range(n) if sizes[a] >= 20}
+        got = {(a, a + k) for a, k, _ in spans(" ".join(words(rng, s) + "." for s in sizes))}
+        assert got == want
