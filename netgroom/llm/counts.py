@@ -1,4 +1,4 @@
-"""Token counts by Viterbi over a unigram vocabulary, without the tokens."""
+"""Piece counts by Viterbi over scored pieces, without the pieces themselves."""
 
 from __future__ import annotations
 
@@ -86,6 +86,8 @@ class Counter:
 def count_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_tokens) of every whole text; null and empty texts have 0; repeated rows are answered each.
 
+    The pieces' scores are taken as log-probabilities.  Those of a BPE model are merge ranks, so
+    the counts are then not those of the model itself.
     The vocabulary (a fixed file) is read by the driver and broadcast.
     """
     pieces = df.sparkSession.sparkContext.broadcast(read_pieces(path))
