@@ -16,6 +16,8 @@ from netgroom.llm.secrets import redact_secrets
 RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Near duplicates share 80 percent of their shingles of 5 words; op9_jaccard has a contract of its own.
 SHINGLE, SHARED = 5, 80
+#: Column of a row's key within a stage.
+ROW = "netgroom_row"
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,18 +25,26 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_identified(docs, train(docs))
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a key of every row, a hash of all its columns; only rows that are equal throughout share one."""
+    parts = [x for c in docs.columns for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
+    return docs.withColumn(ROW, F.xxhash64(*parts))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each class; documents without an id stay."""
-    classes = jaccard_classes(docs, size=SHINGLE, percent=SHARED)
-    first = classes.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null"))
+    """The row with the smallest id of each class, rows without an id last; of rows equal throughout one stays."""
+    rows = keyed(docs)
+    classes = jaccard_classes(rows, ROW, size=SHINGLE, percent=SHARED).select(ROW, "component_id")
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW)).alias("least")
+    first = rows.select(ROW, "doc_id").join(classes.distinct(), ROW).groupBy("component_id").agg(least)
+    return rows.join(first.select(F.col(f"least.{ROW}")), ROW, "left_semi").dropDuplicates([ROW]).drop(ROW)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    found = contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti")
+    """Rows that hold no benchmark item."""
+    rows = keyed(docs)
+    found = contaminated(rows, table(spark, sf_dir, "benchmark"), ROW).select(ROW).distinct()
+    return rows.join(found, ROW, "left_anti").drop(ROW)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -284,3 +284,16 @@ def test_spans_equal_all_shortest_runs():
         want = {(a, b) for a, b in runs if (a, b - 1) not in runs or (a + 1, b) not in runs} | {(a, a + 1) for a in range(n) if sizes[a] >= 20}
         got = {(a, a + k) for a, k, _ in spans(" ".join(words(rng, s) + "." for s in sizes))}
         assert got == want
+
+
+def test_pipeline_decides_by_row(spark):
+    import corpus_pipeline
+
+    rng = random.Random(12)
+    item = spark.read.parquet(f"{SMALL}/benchmark.parquet").orderBy("item_id").first().text
+    a, b, c, d = (words(rng, 60) for _ in range(4))
+    rows = [(1, a), (1, b), (2, a), (None, b), (None, c), (None, c), (None, d), (None, f"x {item} y"), (1, f"z {item} y"), (3, d)]
+    kept = corpus_pipeline.near_duplicates(spark, docs(spark, rows), SMALL)
+    left = corpus_pipeline.decontaminate(spark, kept, SMALL)
+    assert left.columns == ["doc_id", "text", "id", "gram"]
+    assert sorted((r.doc_id or 0, r.text) for r in left.collect()) == sorted([(1, a), (1, b), (0, c), (3, d)])
