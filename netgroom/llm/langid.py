@@ -100,9 +100,24 @@ class Model:
         return self.langs[best], float(score), float(cost[best])
 
 
+def sample(parts: list[tuple[int, bytes]], size: int) -> bytes:
+    """(hash, text) pairs in order, together about ``size`` bytes; a window at a hashed place of each that is too long."""
+    share, left = [0] * len(parts), size
+    for n, k in enumerate(sorted(range(len(parts)), key=lambda k: len(parts[k][1]))):
+        share[k] = min(len(parts[k][1]), max(1, left // (len(parts) - n)))
+        left -= share[k]
+    out = []
+    for (h, text), n in zip(parts, share):
+        start = h % (len(text) - n + 1)
+        out.append(text[start : start + n])
+    return b" ".join(out)
+
+
 def fit(labelled: DataFrame, docs: int = SAMPLE_DOCS, size: int = SAMPLE_BYTES) -> Model:
     """Train on ``labelled`` (id, text, lang): at most ``docs`` different texts a language, by hash order.
 
+    Texts share ``size`` bytes evenly, and what short ones leave goes to the others; of a
+    text longer than its share a window at a hashed place is learned.
     A sample alone is fitted; nothing else passes the driver.  Rows without a
     language or text do not count.
     """
@@ -113,15 +128,16 @@ def fit(labelled: DataFrame, docs: int = SAMPLE_DOCS, size: int = SAMPLE_BYTES)
     final = Window.partitionBy("lang").orderBy("h", "id")
     few = keys.withColumn("r", F.row_number().over(near)).where(F.col("r") <= docs)
     few = few.withColumn("r", F.row_number().over(final)).where(F.col("r") <= docs)
-    chosen = few.select("lang", "id")
-    found = rows.join(F.broadcast(chosen), ["lang", "id"]).select("lang", "id", F.substring("text", 1, size).alias("text"))
-    grouped: dict[str, list[tuple[int, str]]] = {}
+    chosen = few.select("lang", "id", "h")
+    start = F.expr(f"int(pmod(h, greatest(length(text) - {size}, 0) + 1)) + 1")
+    found = rows.withColumn("h", F.xxhash64("text")).join(F.broadcast(chosen), ["lang", "id", "h"])
+    found = found.select("lang", "id", "h", F.substring("text", start, F.lit(size)).alias("text"))
+    grouped: dict[str, list[tuple[int, int, str]]] = {}
     for row in found.distinct().toLocalIterator():
-        grouped.setdefault(row.lang, []).append((row.id, row.text))
+        grouped.setdefault(row.lang, []).append((row.id, row.h, row.text))
     samples = {}
-    for lang, pairs in grouped.items():
-        share = max(1, size // len(pairs))
-        data = b" ".join(normal(t)[:share] for _, t in sorted(pairs))
+    for lang, chosen_texts in grouped.items():
+        data = sample([(h, normal(t)) for _, h, t in sorted(chosen_texts)], size)
         if data.strip():
             samples[lang] = data
     return Model(samples)

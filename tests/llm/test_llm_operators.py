@@ -297,3 +297,16 @@ def test_pipeline_decides_by_row(spark):
     left = corpus_pipeline.decontaminate(spark, kept, SMALL)
     assert left.columns == ["doc_id", "text", "id", "gram"]
     assert sorted((r.doc_id or 0, r.text) for r in left.collect()) == sorted([(1, a), (1, b), (0, c), (3, d)])
+
+
+def test_language_sample_is_no_prefix(spark):
+    from netgroom.llm.langid import sample
+
+    rng = random.Random(13)
+    head = words(rng, 100)
+    body = lambda letters, n: " ".join("".join(rng.choice(letters) for _ in range(6)) for _ in range(n))
+    rows = [(k, f"{head} {body('abcdefg', 2000)}", "one") for k in range(64)] + [(100 + k, f"{head} {body('mnopqrs', 2000)}", "two") for k in range(64)]
+    model = fit(spark.createDataFrame(rows, "id long, text string, lang string"))
+    got = {r.doc_id: r.lang_pred for r in identify(docs(spark, [(1, body("abcdefg", 50)), (2, body("mnopqrs", 50))]), model).collect()}
+    assert got == {1: "one", 2: "two"}
+    assert len(sample([(5, b"a"), (6, b"b" * 100), (7, b"c" * 100)], 100)) == 102
