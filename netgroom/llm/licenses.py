@@ -59,6 +59,9 @@ _FAMILIES = [
     ("zlib license", "zlib", ""),
     ("(?:new|modified|revised|3 clause) bsd license", "bsd-3-clause", ""),
     ("(?:simplified|freebsd|2 clause) bsd license", "bsd-2-clause", ""),
+    ("(?:(?:original|4 clause) bsd license|bsd 4 clause(?: license)?)", "bsd-4-clause", ""),
+    ("bsd 3 clause(?: license)?", "bsd-3-clause", ""),
+    ("bsd 2 clause(?: license)?", "bsd-2-clause", ""),
     ("bsd license", "bsd", ""),
     ("(?:the )?unlicense", "unlicense", ""),
     ("do what the fuck you want to public license", "wtfpl", "2"),
@@ -75,8 +78,36 @@ _NOTICES = [
     ("spdx license identifier", "spdx", 0.7),
 ]
 
+# Short ids (as SPDX has them) and their versions; a version stands behind them.
+_SHORT = [
+    ("gpl", "1 2 3"),
+    ("lgpl", "2 2.1 3"),
+    ("agpl", "1 3"),
+    ("gfdl", "1.1 1.2 1.3"),
+    ("apache", "1.0 1.1 2.0"),
+    ("mpl", "1.0 1.1 2.0"),
+    ("epl", "1.0 2.0"),
+    ("eupl", "1.0 1.1 1.2"),
+    ("cddl", "1.0 1.1"),
+    ("afl", "1.1 1.2 2.0 2.1 3.0"),
+    ("osl", "1.0 2.0 2.1 3.0"),
+    ("ofl", "1.0 1.1"),
+    ("odbl", "1.0"),
+    ("zpl", "1.1 2.0 2.1"),
+]
+
+# Ids that count behind the SPDX tag only, and those among them with versions.
+_TAGGED = {
+    "mit": "mit", "isc": "isc", "zlib": "zlib", "unlicense": "unlicense", "wtfpl": "wtfpl", "0bsd": "0bsd", "ms pl": "ms-pl", "ms rl": "ms-rl",
+    "bsd 2 clause": "bsd-2-clause", "bsd 3 clause": "bsd-3-clause", "bsd 4 clause": "bsd-4-clause", "cc0 1 0": "cc0-1.0",
+}
+_TAGGED_VERSIONS = [("cpl", "1.0"), ("bsl", "1.0"), ("artistic", "1.0 2.0"), ("psf", "2"), ("php", "3.0 3.01")]
+_TAGGED_VERSIONS += [(f"cc by{kind}", "1.0 2.0 2.5 3.0 4.0") for kind in ("", " sa", " nc", " nd", " nc sa", " nc nd")]
+_TAG = "spdx license identifier "
+
 #: A text without any of these holds no rule's match.
 KEYWORDS = (b"licen", b"cc by", b"cc0", b"creative commons", b"permission", b"redistribution", b"public domain", b"rights reserved")
+KEYWORDS += (b" bsd ", *(f" {word}".encode() for word, _ in _SHORT))
 
 
 def rules() -> list[tuple[int, str, float, re.Pattern]]:
@@ -96,6 +127,16 @@ def rules() -> list[tuple[int, str, float, re.Pattern]]:
                 out.append((2, f"{label}-{v}", 0.9, brief))
             out.append((3, f"{label}-{v}-or-later", 0.97, rf"{name} (?:version |v)?(?:{number}|{short}) or (?:any )?later"))
         out.append((4, label, 0.8, name))
+    for word, versions in _SHORT + _TAGGED_VERSIONS:
+        label = word.replace(" ", "-")
+        behind = _TAG if (word, versions) in _TAGGED_VERSIONS else f"(?:{_TAG})?"
+        for v in versions.split():
+            # gpl-3.0 is gpl-3; other versions are written in full
+            number = v.replace(".", " ") + ("" if "." in v else "(?: 0)?")
+            short = rf"{behind}{word}(?: version | ?v ?| )?{number}"
+            out.append((2, f"{label}-{v}", 0.9, rf"{short}(?: only)?(?! \d )"))
+            out.append((2, f"{label}-{v}-or-later", 0.95, rf"{short} or (?:any )?later"))
+    out += [(2, label, 0.95, f"{_TAG}{word}") for word, label in _TAGGED.items()]
     out += [(5, label, weight, pattern) for pattern, label, weight in _NOTICES]
     return [(p, label, w, re.compile(rf"(?<= )(?:{pattern})(?= )".encode())) for p, label, w, pattern in out]
 

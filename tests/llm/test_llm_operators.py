@@ -300,8 +300,6 @@ def test_pipeline_decides_by_row(spark):
 
 
 def test_language_sample_is_no_prefix(spark):
-    from netgroom.llm.langid import sample
-
     rng = random.Random(13)
     head = words(rng, 100)
     body = lambda letters, n: " ".join("".join(rng.choice(letters) for _ in range(6)) for _ in range(n))
@@ -309,4 +307,28 @@ def test_language_sample_is_no_prefix(spark):
     model = fit(spark.createDataFrame(rows, "id long, text string, lang string"))
     got = {r.doc_id: r.lang_pred for r in identify(docs(spark, [(1, body("abcdefg", 50)), (2, body("mnopqrs", 50))]), model).collect()}
     assert got == {1: "one", 2: "two"}
+    from netgroom.llm.langid import sample
+
     assert len(sample([(5, b"a"), (6, b"b" * 100), (7, b"c" * 100)], 100)) == 102
+
+
+def test_licence_ids_and_number_after_name(spark):
+    cases = {
+        "BSD 3-Clause License": "bsd-3-clause",
+        "the BSD 2-Clause License.": "bsd-2-clause",
+        "SPDX-License-Identifier: Apache-2.0": "apache-2.0",
+        "SPDX-License-Identifier: MIT": "mit",
+        "SPDX-License-Identifier: BSD-3-Clause": "bsd-3-clause",
+        "SPDX-License-Identifier: GPL-2.0-or-later": "gpl-2-or-later",
+        "SPDX-License-Identifier: CC-BY-SA-4.0": "cc-by,cc-by-sa-4.0",
+        "under GPLv3 or any later version": "gpl-3-or-later",
+        "GPL-3.0-only": "gpl-3",
+        "LGPL-2.1": "lgpl-2.1",
+        "LGPLv2.1": "lgpl-2.1",
+        "MPL-2.0": "mpl-2.0",
+        "SPDX-License-Identifier: Other": "spdx",
+        "an example of 2 simple apache helicopters": "",
+    }
+    got = scan_licenses(docs(spark, list(enumerate(cases)))).orderBy("doc_id").collect()
+    assert {text: r.labels for text, r in zip(cases, got)} == cases
+    assert [r.doc_id for r in got if r.base_labels] == [6]
