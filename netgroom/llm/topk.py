@@ -16,7 +16,7 @@ LIMIT = 1 << 24
 
 
 def quantise(df: DataFrame, id_col: str, vec_col: str, scale: int = 64) -> DataFrame:
-    """(id, v): floor(scale * x) of each component; rows with nulls or non-finite values are left out."""
+    """(id, v): floor(scale * x) of each component, held within ``LIMIT``; rows with nulls or non-finite values are left out."""
     x = F.col(vec_col)
     bad = F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c.cast("double")) == float("inf")))
     whole = F.transform(x, lambda c: F.floor(F.least(F.greatest(c.cast("double") * scale, F.lit(float(-LIMIT))), F.lit(float(LIMIT)))).cast("long"))
