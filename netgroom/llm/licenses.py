@@ -110,8 +110,8 @@ KEYWORDS = (b"licen", b"cc by", b"cc0", b"creative commons", b"permission", b"re
 KEYWORDS += (b" bsd ", *(f" {word}".encode() for word, _ in _SHORT))
 
 
-def rules() -> list[tuple[int, str, float, re.Pattern]]:
-    """(priority, label, weight, pattern), a rule for each family, version and wording; lower priority wins.
+def rules() -> list[tuple[int, str, float, re.Pattern, bytes]]:
+    """(priority, label, weight, pattern, what a text must hold), a rule for each family, version and wording; lower priority wins.
 
     A version without a label of its own keeps its family's, as the base labels do.
     """
@@ -138,7 +138,16 @@ def rules() -> list[tuple[int, str, float, re.Pattern]]:
             out.append((2, f"{label}-{v}-or-later", 0.95, rf"{short} or (?:any )?later"))
     out += [(2, label, 0.95, f"{_TAG}{word}") for word, label in _TAGGED.items()]
     out += [(5, label, weight, pattern) for pattern, label, weight in _NOTICES]
-    return [(p, label, w, re.compile(rf"(?<= )(?:{pattern})(?= )".encode())) for p, label, w, pattern in out]
+    return [(p, label, w, re.compile(rf"(?<= )(?:{pattern})(?= )".encode()), _needs(pattern)) for p, label, w, pattern in out]
+
+
+def _needs(pattern: str) -> bytes:
+    """Words without which a rule of short ids or tags cannot match; empty for other rules."""
+    if pattern.startswith(_TAG):
+        return f" {_TAG}".encode()
+    if pattern.startswith(f"(?:{_TAG})?"):
+        return b" " + re.match("[a-z]+", pattern.removeprefix(f"(?:{_TAG})?"))[0].encode()
+    return b""
 
 
 def detect(words: bytes, ordered) -> list[tuple[int, int, str, float]]:
@@ -149,7 +158,12 @@ def detect(words: bytes, ordered) -> list[tuple[int, int, str, float]]:
     """
     hits = []
     if any(k in words for k in KEYWORDS):
-        for order, (priority, label, weight, pattern) in enumerate(ordered):
+        there: dict[bytes, bool] = {}
+        for order, (priority, label, weight, pattern, needs) in enumerate(ordered):
+            if needs not in there:
+                there[needs] = needs in words
+            if not there[needs]:
+                continue
             hits += [(m.start() - m.end(), priority, order, m.start(), m.end(), label, weight) for m in pattern.finditer(words)]
     hits.sort()
     # kept intervals never overlap: their neighbours in order of start decide
