@@ -8,6 +8,7 @@ from netgroom.llm.decontaminate import op4_decontamination
 from netgroom.llm.jaccard import op9_jaccard
 from netgroom.llm.langid import op2_language
 from netgroom.llm.licenses import op7_licenses
+from netgroom.llm.merkle import OP11_SQL, op11_merkle
 from netgroom.llm.secrets import op8_secrets
 from netgroom.llm.sentences import op3_sentences
 from netgroom.llm.topk import OP1_SQL, op1_topk
@@ -26,6 +27,7 @@ QUERIES = {
         op8_secrets,
         op9_jaccard,
         op10_counts,
+        op11_merkle,
     )
 }
-ORACLE_SQL = {"op1_topk": OP1_SQL}
+ORACLE_SQL = {"op1_topk": OP1_SQL, "op11_merkle": OP11_SQL}
