@@ -13,9 +13,11 @@ from netgroom.llm.common import stored, table
 from netgroom.llm.ranking import numbered
 
 #: Nodes that make a parent, and levels that one stored link climbs.
-ARITY, STEP = 3, 4
+ARITY, STEP = 3, 6
 #: Leaves that climb through one copy of a stored node; nodes above more leaves are stored in several copies.
-COPY_LEAVES = 729
+COPY_LEAVES = 4096
+#: Up to so many node rows (of a kilobyte or less, their siblings being 12 levels at most) are broadcast, more are joined by a shuffle.
+SMALL = 16_384
 #: Tree of the subroots; the trees of the groups are numbered from 0.
 TOP = -1
 
@@ -123,7 +125,10 @@ def _grow(leaves: DataFrame, extra: dict[str, str], arity: int, step: int) -> tu
 
 @dataclass
 class Manifest:
-    """Leaves and upper nodes, each with its link (the siblings on the way and the node reached), and the root (None if empty)."""
+    """Leaves and upper nodes, each with its link, and the root (None if empty).
+
+    A link holds the siblings on the way and the node reached, and the subroot if the way passes one.
+    """
 
     leaves: DataFrame
     nodes: DataFrame
@@ -148,11 +153,30 @@ def manifest(rows: DataFrame, group: str, order: list[str], extra: dict[str, str
     n = trees.count()
     top = subroots.select(F.lit(TOP).cast("long").alias("tree"), F.col("tree").alias("idx"), F.lit(n).cast("long").alias("n"), "hash", "leaves")
     top_lowest, top_above, root = _grow(top, {}, arity, step)
-    nodes = top_lowest
-    for level in [*above, *top_above]:
-        nodes = nodes.unionByName(level)
+    lower = None
+    for level in above:
+        lower = level if lower is None else lower.unionByName(level)
+    upper = None
+    for level in top_above:
+        upper = level if upper is None else upper.unionByName(level)
+    # a way that ends at a subroot goes on by that subroot's own link
+    starts = _through(lowest, top_lowest, n)
+    links = top_lowest.limit(0).withColumn("subroot", F.col("hash")) if lower is None else _through(lower, top_lowest, n)
+    if upper is not None:
+        links = links.unionByName(upper.withColumn("subroot", F.lit(None).cast("binary")))
     found = root.first()
-    return Manifest(lowest, nodes, bytes(found.hash) if found else None)
+    return Manifest(starts, stored(links), bytes(found.hash) if found else None)
+
+
+def _through(rows: DataFrame, tops: DataFrame, n: int) -> DataFrame:
+    """``rows`` whose links reach a subroot are linked to where the subroot's link (one of ``n``) leads; ``subroot`` is its hash."""
+    inside = rows.where(f"up_tree <> {TOP}").withColumn("subroot", F.lit(None).cast("binary"))
+    ups = [c.split()[0] for c in _LINK.split(", ")]
+    own = [F.col("idx").alias("top_idx"), F.col("hash").alias("top_hash"), F.col("path").alias("top_path"), *(F.col(c).alias(f"top_{c}") for c in ups)]
+    top = tops.select(*own)
+    ending = rows.where(f"up_tree = {TOP}").join(F.broadcast(top) if n <= SMALL else top, F.col("up_idx") == F.col("top_idx"))
+    led = {"path": F.concat("path", "top_path"), "subroot": F.col("top_hash")} | {c: F.col(f"top_{c}") for c in ups}
+    return inside.unionByName(ending.withColumns(led).select(*inside.columns))
 
 
 _FOLD = (
@@ -168,22 +192,24 @@ def prove(built: Manifest, folded: str, carry: list[str]) -> DataFrame:
     From each leaf the query ascends by the links, appends the siblings on the way (left to
     right, level by level) and folds the digest in column ``folded`` with them; it ends at
     the root.  Copies of upper nodes are met by the leaves in turn, so that the nodes that
-    many leaves share are not met in one task.
+    many leaves share are not met in one task.  Spark writes the rows of every round, so a
+    link climbs several levels.
     """
     spark = built.leaves.sparkSession
     copies = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("leaves") - 1) / COPY_LEAVES).cast("long")))
     nodes = built.nodes.withColumn("copy", copies)
+    nodes = F.broadcast(nodes) if nodes.count() <= SMALL else nodes
     listed = "".join(f"{c}, " for c in carry)
     passed = "".join(f"c.{c}, " for c in carry)
     empty = "cast('' as binary)"
     query = f"""
         WITH RECURSIVE climb AS (
-          SELECT {listed}hash, idx AS leaf_idx, up_tree, up_level, up_idx, pmod(idx, up_copies) AS up_copy, cast(null AS binary) AS subroot,
+          SELECT {listed}hash, idx AS leaf_idx, up_tree, up_level, up_idx, pmod(idx, up_copies) AS up_copy, subroot,
                  {_FOLD.format(path="path", start=folded)} AS folded, {_SIBLINGS.format(path="path", start=empty)} AS siblings
           FROM {{leaves}}
           UNION ALL
           SELECT {passed}c.hash, c.leaf_idx, n.up_tree, n.up_level, n.up_idx, pmod(c.leaf_idx, n.up_copies),
-                 coalesce(c.subroot, CASE WHEN n.tree = {TOP} THEN n.hash END),
+                 coalesce(c.subroot, n.subroot),
                  {_FOLD.format(path="n.path", start="c.folded")}, {_SIBLINGS.format(path="n.path", start="c.siblings")}
           FROM climb c JOIN {{nodes}} n ON c.up_tree = n.tree AND c.up_level = n.level AND c.up_idx = n.idx AND c.up_copy = n.copy
         )
