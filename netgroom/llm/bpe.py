@@ -5,13 +5,19 @@ from __future__ import annotations
 import base64
 import hashlib
 import math
+import re
+from itertools import chain
 
+import ahocorasick
 import regex
 from pyspark.sql import DataFrame
 
 from netgroom.llm.common import map_texts, table, texts
 
-CACHE = 200_000
+#: Segments, and pieces, in one generation of a worker's tables, and the longest kept; pairs kept.
+CACHE, KEPT, PAIRS = 150_000, 64, 1_000_000
+#: A space between two characters that are no white space: with such a space a piece begins.
+_CUT = re.compile(r" (?<=\S )(?=\S)")
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -33,14 +39,21 @@ class Bpe:
         self.bytes_of = {i: b for b, i in ranks.items()}
         self.split = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
         self.longest = max(map(len, ranks))
-        #: Every token's id, and -1 for what only begins a token.
-        self.begins = {b[:k]: -1 for b in ranks for k in range(1, len(b))} | ranks
+        #: Finds the tokens that end at each byte, the longest first.
+        self.ends = ahocorasick.Automaton()
+        for data, i in ranks.items():
+            self.ends.add_word(data.decode("latin-1"), (len(data), i))
+        self.ends.make_automaton()
+        self.width = max(self.bytes_of) + 1
         #: Merging steps of the tokens tried so far; None for those that do not merge to themselves.
         self.traces: dict[int, list[tuple[float, bytes, bytes]] | None] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
-        #: Pieces seen lately and those before them: two bounded generations.
+        #: Whether a token may follow another, under left * width + right; left is -1 at the start.
+        self.fits: dict[int, bool] = {}
+        #: Pieces and segments seen lately and those before them: two bounded generations each.
         self.pieces: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
+        self.segments: dict[str, tuple[int, ...]] = {}
+        self.older_segments: dict[str, tuple[int, ...]] = {}
 
     def steps(self, data: bytes) -> list[tuple[float, bytes, bytes]]:
         """Merging of a single token: before each merge its rank, the first and the last part; at the end no rank."""
@@ -57,10 +70,13 @@ class Bpe:
                 return out
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
-    def _trace(self, token: int, data: bytes) -> list[tuple[float, bytes, bytes]] | None:
-        trace = self.steps(data)
-        self.traces[token] = trace if trace[-1][1] == data else None
-        return self.traces[token]
+    def _fits(self, left: int, token: int) -> bool:
+        """Whether ``token`` merges to itself and stays beside ``left`` (-1: stands at the start)."""
+        if token not in self.traces:
+            data = self.bytes_of[token]
+            trace = self.steps(data)
+            self.traces[token] = trace if trace[-1][1] == data else None
+        return self.traces[token] is not None and (left < 0 or self._pair(left, token))
 
     def _pair(self, left: int, right: int) -> bool:
         """Whether two valid tokens, merged together, stay as they are.
@@ -85,35 +101,28 @@ class Bpe:
     def append(self, data: bytes, last: list[int], until: int | None = None) -> list[int]:
         """Extend ``last``, the last token of each prefix done so far, to all prefixes of ``data``.
 
-        Tokens are tried by ascending start, when the last token before the start is known.
+        For each prefix the tokens that end there are tried, the longest first; the one that fits
+        behind the last token before its start is the only one.
         """
-        begins, traces, pairs, done = self.begins, self.traces, self.pairs, len(last)
-        n = len(data) if until is None else until
+        done, n, fits, width = len(last), len(data) if until is None else until, self.fits, self.width
+        first = max(0, done + 1 - self.longest)
         last.extend([-1] * (n - done))
-        left = -1
-        for start in range(max(0, done + 1 - self.longest), n):
-            if start:
-                left = last[start - 1]
-                if left < 0:
-                    raise ValueError("the vocabulary lacks single bytes")
-            for end in range(start + 1, n + 1):
-                token = begins.get(data[start:end])
-                if token is None:
-                    break
-                if token < 0 or last[end - 1] >= 0:
-                    continue
-                if (traces[token] if token in traces else self._trace(token, data[start:end])) is None:
-                    continue
-                if start:
-                    key = (left, token)
-                    fits = pairs.get(key)
-                    if fits is None:
-                        if len(pairs) >= 10 * CACHE:
-                            pairs.clear()
-                        fits = pairs[key] = self._pair(left, token)
-                    if not fits:
-                        continue
-                last[end - 1] = token
+        for at, (size, token) in self.ends.iter(data[first:n].decode("latin-1")):
+            at += first
+            if last[at] >= 0:
+                continue
+            start = at + 1 - size
+            left = last[start - 1] if start else -1
+            if start and left < 0:
+                continue
+            key = left * width + token
+            good = fits.get(key)
+            if good is None:
+                if len(fits) >= PAIRS:
+                    fits.clear()
+                good = fits[key] = self._fits(left, token)
+            if good:
+                last[at] = token
         if n > done and last[-1] < 0:
             raise ValueError("the vocabulary lacks single bytes")
         return last
@@ -147,17 +156,34 @@ class Bpe:
         whole = self.ranks.get(data)
         return (whole,) if whole is not None else tuple(self.tokens(self.append(data, [])))
 
-    def encode(self, text: str) -> list[int]:
+    def _segment(self, text: str) -> tuple[int, ...]:
+        """Ids of all pieces of a text."""
         out: list[int] = []
         for part in self.split.findall(text):
             ids = self.pieces.get(part)
             if ids is None:
                 ids = self.older.get(part) or self.piece(part)
-                if len(part) <= 64:
+                if len(part) <= KEPT:
                     if len(self.pieces) >= CACHE:
                         self.pieces, self.older = {}, self.pieces
                     self.pieces[part] = ids
             out.extend(ids)
+        return tuple(out)
+
+    def encode(self, text: str) -> list[int]:
+        """Ids of a text, from those of its segments between single spaces, each found once."""
+        first, *rest = _CUT.split(text)
+        known = self.segments
+        long = []
+        for part in set(rest).difference(known):
+            known[part] = self.older_segments.get(part) or self._segment(" " + part)
+            if len(part) > KEPT:
+                long.append(part)
+        out = [*self._segment(first), *chain.from_iterable(map(known.__getitem__, rest))]
+        for part in long:
+            del known[part]
+        if len(known) >= CACHE:
+            self.segments, self.older_segments = {}, known
         return out
 
     def decode(self, ids: list[int]) -> bytes:
