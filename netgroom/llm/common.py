@@ -64,6 +64,23 @@ def map_texts(rows: DataFrame, schema: str, make: Callable[[], Callable]) -> Dat
     return rows.mapInArrow(run, kind)
 
 
+#: A key is hot if it holds more than this part of all rows; so there are at most so many hot keys.
+HOT_PART = 1000
+
+
+def join_counted(rows: DataFrame, side: DataFrame, key: str, count: str) -> DataFrame:
+    """Inner join of ``rows`` with ``side``, which has one row for each ``key`` and its number of ``rows`` in ``count``.
+
+    Keys with more than a thousandth of all counted rows are at most a thousand: their part of
+    ``side`` is broadcast and their rows stay where they are.  All other rows are shuffled by key.
+    Both tables are read twice, so give stored ones.
+    """
+    total = side.agg(F.sum(count)).first()[0] or 0
+    hot = F.broadcast(side.where(F.col(count) * HOT_PART > total))
+    rest = rows.join(hot.select(key), key, "left_anti").join(side.where(F.col(count) * HOT_PART <= total), key)
+    return rows.join(hot, key).unionByName(rest)
+
+
 def components(links: DataFrame) -> DataFrame:
     """Smallest node reachable from each node of ``links`` (a, b): rows (node, component).
 

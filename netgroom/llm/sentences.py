@@ -8,13 +8,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netgroom.llm.common import map_texts, stored, table, texts
+from netgroom.llm.common import join_counted, map_texts, stored, table, texts
 from netgroom.llm.text import chunks
 
 #: A span has at least so many words, and so many sentences unless one sentence alone has the words.
 SENTENCES, WORDS = 2, 20
-#: Salts over which the documents that share one span are dealt.
-SALTS = 32
 
 #: Sentence ends: of Latin and similar scripts, CJK, Devanagari, Arabic, Urdu, Armenian, Ethiopic, Burmese, Khmer, Tibetan.
 _ENDS = r".!?\n\u2028\u2029。．｡！？।॥؟۔։።፧။៕།"
@@ -82,11 +80,8 @@ def dedup_sentences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         return lambda i, text: [(i, *s) for s in spans(text or "")]
 
     every = stored(map_texts(rows.where("id is not null"), "id long, at int, n int, gram long", make))
-    first = every.groupBy("gram").agg(F.min(F.struct("id", "at")).alias("f"), F.count("*").alias("c")).where("c > 1")
-    # the places of one span are dealt over salts, so a passage of many documents is not one task
-    wide = first.select("gram", "f", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    dealt = every.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
-    again = dealt.join(wide, ["gram", "salt"]).where((F.col("id") != F.col("f.id")) | (F.col("at") != F.col("f.at")))
+    first = stored(every.groupBy("gram").agg(F.min(F.struct("id", "at")).alias("f"), F.count("*").alias("c")).where("c > 1"))
+    again = join_counted(every, first, "gram", "c").where((F.col("id") != F.col("f.id")) | (F.col("at") != F.col("f.at")))
     covered = again.select("id", F.explode(F.sequence("at", F.col("at") + F.col("n") - 1)).alias("at")).distinct()
     gone = covered.groupBy("id").agg(F.array_sort(F.collect_list("at")).alias("gone"))
 
@@ -111,7 +106,10 @@ def dedup_sentences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 )
 
     schema = "id long, text string, n_sentences long, n_removed long, removed array<int>"
-    return rows.join(gone, "id", "left").select("id", "text", "gone").mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    # rows without an id have nothing to meet
+    known = rows.where("id is not null").join(gone, "id", "left").select("id", "text", "gone")
+    unknown = rows.where("id is null").select("id", "text", F.lit(None).cast("array<int>").alias("gone"))
+    return known.unionByName(unknown).mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 
 def op3_sentences(spark, sf_dir):
