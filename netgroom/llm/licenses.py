@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import bisect
 import re
+from dataclasses import dataclass
 
+import ahocorasick
 from pyspark.sql import DataFrame
 
 from netgroom.llm.common import map_texts, table, texts
@@ -105,77 +107,99 @@ _TAGGED_VERSIONS = [("cpl", "1.0"), ("bsl", "1.0"), ("artistic", "1.0 2.0"), ("p
 _TAGGED_VERSIONS += [(f"cc by{kind}", "1.0 2.0 2.5 3.0 4.0") for kind in ("", " sa", " nc", " nd", " nc sa", " nc nd")]
 _TAG = "spdx license identifier "
 
-#: A text without any of these holds no rule's match.
-KEYWORDS = (b"licen", b"cc by", b"cc0", b"creative commons", b"permission", b"redistribution", b"public domain", b"rights reserved")
-KEYWORDS += (b" bsd ", *(f" {word}".encode() for word, _ in _SHORT))
 
+@dataclass(frozen=True)
+class Rule:
+    """A signature: lower ``priority`` wins; ``anchors`` are the words it can begin with."""
 
-def rules() -> list[tuple[int, str, float, re.Pattern, bytes]]:
-    """(priority, label, weight, pattern, what a text must hold), a rule for each family, version and wording; lower priority wins.
+    priority: int
+    label: str
+    weight: float
+    pattern: re.Pattern
+    anchors: tuple[str, ...]
+
+
+def wordings(pattern: str) -> list[str]:
+    """All texts that a pattern of words, optional groups and alternatives matches."""
+    found = re.search(r"\(\?:([^()]*)\)(\??)|\[(\w+)\]", pattern)
+    if not found:
+        return [pattern]
+    choices = list(found[3]) if found[3] else found[1].split("|") + [""] * bool(found[2])
+    return [w for c in choices for w in wordings(pattern[: found.start()] + c + pattern[found.end() :])]
+
+
+def rules() -> list[Rule]:
+    """A rule for each family, version and wording.
 
     A version without a label of its own keeps its family's, as the base labels do.
     """
     out = []
     for name, label, versions in _FAMILIES:
+        anchors = [f" {w} " for w in wordings(name)]
         for v in versions.split():
             number = re.escape(v.replace(".", " ")).replace("\\ ", " ")
             short = number.removesuffix(" 0")
             exact = rf"{name} (?:version |v)?{number}"
             brief = rf"{name} (?:version |v)?{short}(?! \d )"
-            out.append((1, f"{label}-{v}", 0.95, exact))
+            out.append((1, f"{label}-{v}", 0.95, exact, anchors))
             if short != number:
-                out.append((2, f"{label}-{v}", 0.9, brief))
-            out.append((3, f"{label}-{v}-or-later", 0.97, rf"{name} (?:version |v)?(?:{number}|{short}) or (?:any )?later"))
-        out.append((4, label, 0.8, name))
+                out.append((2, f"{label}-{v}", 0.9, brief, anchors))
+            out.append((3, f"{label}-{v}-or-later", 0.97, rf"{name} (?:version |v)?(?:{number}|{short}) or (?:any )?later", anchors))
+        out.append((4, label, 0.8, name, anchors))
     for word, versions in _SHORT + _TAGGED_VERSIONS:
         label = word.replace(" ", "-")
-        behind = _TAG if (word, versions) in _TAGGED_VERSIONS else f"(?:{_TAG})?"
+        tagged = (word, versions) in _TAGGED_VERSIONS
+        behind = _TAG if tagged else f"(?:{_TAG})?"
+        anchors = [f" {_TAG}{word}"] if tagged else [f" {_TAG}{word}", f" {word}"]
         for v in versions.split():
             # gpl-3.0 is gpl-3; other versions are written in full
             number = v.replace(".", " ") + ("" if "." in v else "(?: 0)?")
             short = rf"{behind}{word}(?: version | ?v ?| )?{number}"
-            out.append((2, f"{label}-{v}", 0.9, rf"{short}(?: only)?(?! \d )"))
-            out.append((2, f"{label}-{v}-or-later", 0.95, rf"{short} or (?:any )?later"))
-    out += [(2, label, 0.95, f"{_TAG}{word}") for word, label in _TAGGED.items()]
-    out += [(5, label, weight, pattern) for pattern, label, weight in _NOTICES]
-    return [(p, label, w, re.compile(rf"(?<= )(?:{pattern})(?= )".encode()), _needs(pattern)) for p, label, w, pattern in out]
-
-
-def _needs(pattern: str) -> bytes:
-    """Words without which a rule of short ids or tags cannot match; empty for other rules."""
-    if pattern.startswith(_TAG):
-        return f" {_TAG}".encode()
-    if pattern.startswith(f"(?:{_TAG})?"):
-        return b" " + re.match("[a-z]+", pattern.removeprefix(f"(?:{_TAG})?"))[0].encode()
-    return b""
-
-
-def detect(words: bytes, ordered) -> list[tuple[int, int, str, float]]:
-    """(start, end, label, weight) of detections in words joined by single spaces, with one at each end.
-
-    Of overlapping detections the longer stands; one contained in another goes;
-    equal ones and partial overlaps go by priority, then by order of the rules.
-    """
-    hits = []
-    if any(k in words for k in KEYWORDS):
-        there: dict[bytes, bool] = {}
-        for order, (priority, label, weight, pattern, needs) in enumerate(ordered):
-            if needs not in there:
-                there[needs] = needs in words
-            if not there[needs]:
+            out.append((2, f"{label}-{v}", 0.9, rf"{short}(?: only)?(?! \d )", anchors))
+            out.append((2, f"{label}-{v}-or-later", 0.95, rf"{short} or (?:any )?later", anchors))
+    out += [(2, label, 0.95, f"{_TAG}{word}", [f" {_TAG}{word} "]) for word, label in _TAGGED.items()]
+    out += [(5, label, weight, pattern, [f" {pattern} "]) for pattern, label, weight in _NOTICES]
+    return [Rule(p, label, w, re.compile(rf"(?:{pattern})(?= )".encode()), tuple(a)) for p, label, w, pattern, a in out]
+
+
+class Scanner:
+    """Rules behind one automaton of all their anchors: a rule is tried only where one of its anchors stands."""
+
+    def __init__(self, ordered: list[Rule] | None = None):
+        self.rules = rules() if ordered is None else ordered
+        behind: dict[str, list[int]] = {}
+        for k, rule in enumerate(self.rules):
+            for anchor in rule.anchors:
+                behind.setdefault(anchor, []).append(k)
+        self.anchors = ahocorasick.Automaton()
+        for anchor, ks in behind.items():
+            self.anchors.add_word(anchor, (len(anchor), ks))
+        self.anchors.make_automaton()
+
+    def detect(self, words: bytes) -> list[tuple[int, int, str, float]]:
+        """(start, end, label, weight) of detections in words joined by single spaces, with one at each end.
+
+        Of overlapping detections the longer stands; one contained in another goes;
+        equal ones and partial overlaps go by priority, then by order of the rules.
+        """
+        hits = []
+        for end, (size, ks) in self.anchors.iter(words.decode("latin-1")):
+            for k in ks:
+                rule = self.rules[k]
+                m = rule.pattern.match(words, end - size + 2)
+                if m:
+                    hits.append((m.start() - m.end(), rule.priority, k, m.start(), m.end(), rule.label, rule.weight))
+        hits.sort()
+        # kept intervals never overlap: their neighbours in order of start decide
+        starts: list[int] = []
+        kept: list[tuple[int, int, str, float]] = []
+        for *_, start, end, label, weight in hits:
+            k = bisect.bisect_left(starts, end)
+            if k and kept[k - 1][1] > start:
                 continue
-            hits += [(m.start() - m.end(), priority, order, m.start(), m.end(), label, weight) for m in pattern.finditer(words)]
-    hits.sort()
-    # kept intervals never overlap: their neighbours in order of start decide
-    starts: list[int] = []
-    kept: list[tuple[int, int, str, float]] = []
-    for *_, start, end, label, weight in hits:
-        k = bisect.bisect_left(starts, end)
-        if k and kept[k - 1][1] > start:
-            continue
-        starts.insert(k, start)
-        kept.insert(k, (start, end, label, weight))
-    return kept
+            starts.insert(k, start)
+            kept.insert(k, (start, end, label, weight))
+        return kept
 
 
 def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -189,7 +213,7 @@ def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
 
     def make():
-        ordered = rules()
+        scanner = Scanner()
         phrases = [(f" {p} ".encode(), label) for p, label in BASE.items()]
 
         def work(i, text):
@@ -203,7 +227,7 @@ def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                     base.add(label)
                     at = joined.find(phrase, at + 1)
             ends = [joined.count(b" ", 0, at) for at in (min(places), max(places))] if places else [None, None]
-            found = detect(joined, ordered)
+            found = scanner.detect(joined)
             miss = 1.0
             for *_, weight in found:
                 miss *= 1.0 - weight
