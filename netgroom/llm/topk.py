@@ -9,55 +9,82 @@ from pyspark.sql import functions as F
 
 from netgroom.llm.common import stored, table
 
-#: Rows and queries of a block, dimensions added at a time.
-ROWS, QUERIES, DIMS = 8192, 8192, 16
-#: Components stay in this range after scaling, so that a score of any vector fits a long.
-LIMIT = 1 << 24
+#: Rows and queries of a block, dimensions added at a time, queries that share an order of dimensions.
+ROWS, QUERIES, DIMS, BATCH = 8192, 8192, 16, 256
+#: Products and sums below this are exact in doubles; beyond it scores are integers of any size.
+EXACT = float(1 << 53)
 
 
 def quantise(df: DataFrame, id_col: str, vec_col: str, scale: int = 64) -> DataFrame:
-    """(id, v): floor(scale * x) of each component, held within ``LIMIT``; rows with nulls or non-finite values are left out."""
+    """(id, v): floor(scale * x) of each component; rows without an id and those with nulls or non-finite values are left out.
+
+    A component that no long holds after scaling ends the job with an error.
+    """
     x = F.col(vec_col)
     bad = F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c.cast("double")) == float("inf")))
-    whole = F.transform(x, lambda c: F.floor(F.least(F.greatest(c.cast("double") * scale, F.lit(float(-LIMIT))), F.lit(float(LIMIT)))).cast("long"))
-    return df.where(x.isNotNull() & F.col(id_col).isNotNull()).where(~bad).select(F.col(id_col).cast("long").alias("id"), whole.alias("v"))
+    most = float(1 << 63)
 
+    def whole(c):
+        scaled = F.floor(c.cast("double") * scale)
+        large = F.raise_error(F.concat(F.lit("no long holds the component "), c.cast("string"))).cast("long")
+        return F.when(F.abs(c.cast("double") * scale) >= most, large).otherwise(scaled.cast("long"))
 
-def search(queries: np.ndarray, q_ids: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int):
-    """(query index, row index, score) of each query's k best rows of a block; ``ids`` ascend.
+    return df.where(x.isNotNull() & F.col(id_col).isNotNull()).where(~bad).select(F.col(id_col).cast("long").alias("id"), F.transform(x, whole).alias("v"))
 
-    Rows are kept column by column.  After each block of dimensions a score lies within
-    the partial sum plus or minus the product of the remaining norms; rows whose upper
-    bound is under the k-th lower bound go, and the rest are compacted.
-    """
-    dims = rows.shape[1]
-    x = np.ascontiguousarray(rows.T.astype(np.float64))
-    y = queries.astype(np.float64)
-    rest = lambda m: np.sqrt(np.cumsum((m * m)[:, ::-1], axis=1)[:, ::-1])
-    rest_y, rest_x = rest(y) if dims else y, rest(x.T).T if dims else x
-    out = []
-    for at in range(0, len(y), 256):
-        first = y[at : at + 256, :DIMS] @ x[:DIMS]
-        for j, part in enumerate(first):
-            q = y[at + j]
-            live = np.flatnonzero(ids != q_ids[at + j])
-            part = part[live]
-            for d in range(DIMS, dims, DIMS):
-                if len(live) > k:
-                    slack = rest_y[at + j, d] * rest_x[d, live] * (1 + 1e-9) + 1e-6
-                    floor = np.partition(part - slack, len(live) - k)[len(live) - k]
-                    keep = part + slack >= floor
-                    live, part = live[keep], part[keep]
-                part = part + q[d : d + DIMS] @ x[d : d + DIMS, live]
-            # of equal scores the smaller id wins: ids ascend, the sort is stable
-            best = np.argsort(-part, kind="stable")[:k]
-            exact = rows[live[best]] @ queries[at + j] if dims else np.zeros(len(best), np.int64)
-            out.append((np.full(len(best), at + j), live[best], exact))
-    return out
 
+class Block:
+    """Rows of one length, column by column, with the norms of what is left from each dimension on."""
 
-def _matrix(rows: pa.Table) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """Vectors by their number of dimensions: (ids ascending, matrix); of a repeated id the least vector stays."""
+    def __init__(self, ids: np.ndarray, rows: np.ndarray):
+        self.ids, self.rows = ids, rows
+        self.x = np.ascontiguousarray(rows.T.astype(np.float64))
+        with np.errstate(over="ignore"):
+            self.mass = (self.x * self.x).sum(axis=1)
+
+
+def search(block: Block, queries: np.ndarray, q_ids: list[int], floors: list[int | None], k: int, live_at: list | None = None):
+    """For each query (row indexes, scores) of its best rows of a block, at least the ``k`` best of those that reach its floor.
+
+    Dimensions are added by falling mass of the queries and rows together.  After each block of
+    them a score lies within the partial sum plus or minus the product of the remaining norms
+    and the rounding error; rows whose upper bound is under the k-th lower bound, or under the floor, go,
+    and the rest are compacted.  ``live_at`` receives the rows left after each block, query by query.
+    """
+    dims = queries.shape[1]
+    y = queries.astype(np.float64)
+    with np.errstate(over="ignore", invalid="ignore"):
+        order = np.argsort(-(y * y).sum(axis=0) * block.mass, kind="stable")
+        y, x = np.ascontiguousarray(y[:, order]), block.x[order]
+        tail = lambda m: np.sqrt(np.cumsum((m * m)[::-1], axis=0)[::-1])
+        rest_y, rest_x = tail(y.T), tail(x)
+        first = y[:, :DIMS] @ x[:DIMS]
+        for j, q_id in enumerate(q_ids):
+            live = np.flatnonzero(block.ids != q_id)
+            if not dims or not len(live):
+                yield live, np.zeros(len(live), np.int64)
+                continue
+            part, size = first[j, live], rest_y[0, j] * rest_x[0, live]
+            exact = size.max() < EXACT
+            # sums of integers under 2^53 have no error
+            error = np.zeros(len(live)) if exact else size * dims * 4e-16
+            floor = -np.inf if floors[j] is None else float(floors[j]) - abs(floors[j]) * 1e-15
+            for d in range(DIMS, dims + DIMS, DIMS):
+                if len(live) > k or floor > -np.inf:
+                    slack = (rest_y[d, j] * rest_x[d, live] * (1 + 1e-9) + 1e-6 if d < dims else 0.0) + 2 * error
+                    bound = floor
+                    if len(live) > k:
+                        bound = max(bound, np.partition(part - slack, len(live) - k)[len(live) - k])
+                    keep = ~(part + slack < bound)
+                    live, part, error = live[keep], part[keep], error[keep]
+                if live_at is not None:
+                    live_at.append(len(live))
+                if d < dims:
+                    part = part + y[j, d : d + DIMS] @ x[d : d + DIMS, live]
+            yield live, part.astype(np.int64) if exact else block.rows[live].astype(object) @ queries[j].astype(object)
+
+
+def _blocks(rows: pa.Table) -> dict[int, Block]:
+    """Vectors by their number of dimensions, ids ascending; repeated ids stay."""
     ids = rows.column("id").combine_chunks().to_numpy(zero_copy_only=False)
     flat = rows.column("v").combine_chunks()
     sizes = np.asarray(flat.value_lengths())
@@ -66,48 +93,58 @@ def _matrix(rows: pa.Table) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     out = {}
     for n in np.unique(sizes):
         at = np.flatnonzero(sizes == n)
-        m = values[starts[at][:, None] + np.arange(n)].reshape(len(at), n)
-        order = np.lexsort((*m.T[::-1], ids[at])) if len(np.unique(ids[at])) < len(at) else np.argsort(ids[at])
-        got, m = ids[at][order], m[order]
-        fresh = np.concatenate(([True], got[1:] != got[:-1]))
-        out[int(n)] = (got[fresh], m[fresh])
+        at = at[np.argsort(ids[at], kind="stable")]
+        out[int(n)] = Block(ids[at], values[starts[at][:, None] + np.arange(n)].reshape(len(at), n))
     return out
 
 
+def _near(queries: DataFrame, rows: DataFrame, nq: int, first: int, end: int, k: int) -> DataFrame:
+    """(query_id, vec_id, score): the best rows for each query (id, v, floor) in each of the blocks ``first`` to ``end`` - 1 of rows (id, v, r)."""
+    left = rows.where(f"r >= {first} and r < {end}").withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(nq - 1))))
+    right = queries.withColumn("q", F.pmod(F.xxhash64("id"), F.lit(nq)).cast("int")).withColumn("r", F.explode(F.expr(f"sequence({first}L, {end - 1}L)")))
+
+    def block(x: pa.Table, y: pa.Table) -> pa.Table:
+        found = {"query_id": [], "vec_id": [], "score": []}
+        if x.num_rows and y.num_rows:
+            data = _blocks(x)
+            floors = dict(zip(y.column("id").to_pylist(), y.column("floor").to_pylist()))
+            for n, asked in _blocks(y).items():
+                b = data.get(n)
+                for at in range(0, len(asked.ids) if b else 0, BATCH):
+                    ids = asked.ids[at : at + BATCH].tolist()
+                    for q_id, (live, score) in zip(ids, search(b, asked.rows[at : at + BATCH], ids, [floors[i] for i in ids], k)):
+                        # of equal scores the smaller id wins: ids ascend, the sort is stable
+                        best = np.argsort(-score, kind="stable")[:k]
+                        found["query_id"] += [q_id] * len(best)
+                        found["vec_id"] += b.ids[live[best]].tolist()
+                        found["score"] += score[best].tolist()
+        return pa.table({c: pa.array(v, pa.int64()) for c, v in found.items()})
+
+    return left.groupBy("q", "r").cogroup(right.groupBy("q", "r")).applyInArrow(block, "query_id long, vec_id long, score long")
+
+
 def top_k(queries: DataFrame, rows: DataFrame, k: int = 20) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k best other rows by integer inner product, ties to smaller ids.
 
     Both sides are (id, v) of ``quantise``.  Queries and rows are dealt into blocks of
-    a fixed size by a hash of the id, and each pair of blocks is one task's work.
-    Vectors of different lengths have no score together.  An id that is repeated
-    counts once per length, with its least vector.  Empty tables give no rows.
+    a fixed size by a hash of the id, and each pair of blocks is one task's work.  The first block of
+    rows is searched first; a query's k-th score there is the floor for all other blocks.
+    Vectors of different lengths have no score together.  Rows that repeat an id are candidates
+    each; a query has no row of its own id as candidate, and rows of one query id share its ranks.  Scores are exact;
+    one beyond a long ends the job with an error.  Empty tables give no rows.
     """
     rows = stored(rows)
-    queries = stored(queries)
     nr, nq = -(-rows.count() // ROWS) or 1, -(-queries.count() // QUERIES) or 1
-    left = rows.withColumn("r", F.pmod(F.xxhash64("id"), F.lit(nr))).withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(nq - 1))))
-    right = queries.withColumn("q", F.pmod(F.xxhash64("id"), F.lit(nq)).cast("int")).withColumn(
-        "r", F.explode(F.expr(f"sequence(0L, {nr - 1}L)"))
-    )
-
-    def block(x: pa.Table, y: pa.Table) -> pa.Table:
-        found = {"query_id": [np.zeros(0, np.int64)], "vec_id": [np.zeros(0, np.int64)], "score": [np.zeros(0, np.int64)]}
-        if x.num_rows and y.num_rows:
-            data = _matrix(x)
-            for n, (q_ids, q) in _matrix(y).items():
-                if n not in data:
-                    continue
-                ids, m = data[n]
-                for j, at, score in search(q, q_ids, m, ids, k):
-                    found["query_id"].append(q_ids[j])
-                    found["vec_id"].append(ids[at])
-                    found["score"].append(score)
-        return pa.table({c: np.concatenate(v).astype(np.int64) for c, v in found.items()})
-
-    near = left.groupBy("q", "r").cogroup(right.groupBy("q", "r")).applyInArrow(block, "query_id long, vec_id long, score long")
+    rows = rows.withColumn("r", F.pmod(F.xxhash64("id", "v"), F.lit(nr)))
+    queries = stored(queries).withColumn("floor", F.lit(None).cast("long"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    best = lambda near: near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    near = _near(queries, rows, nq, 0, 1, k)
+    if nr > 1:
+        near = stored(best(near))
+        floors = near.where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("floor"))
+        near = near.drop("rank").unionByName(_near(queries.drop("floor").join(floors, "id", "left"), rows, nq, 1, nr, k))
+    return best(near).select("query_id", "rank", "vec_id", "score")
 
 
 def op1_topk(spark, sf_dir):
