@@ -13,16 +13,15 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from netgroom.llm.text import chunks
-from netgroom.session import SHARED_DIR
+from netgroom.session import SHARED_DIR, shared_dir
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; only where none is named (as in tests) a temporary one is set."""
-    folder = spark.conf.get(SHARED_DIR, None) or spark.sparkContext.getConf().get(SHARED_DIR, None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="shared-")
-        spark.conf.set(SHARED_DIR, folder)
-    return folder.rstrip("/")
+    """The cluster's shared folder; a temporary one only where none is named and the one machine runs all (as in tests)."""
+    if not spark.conf.get(SHARED_DIR, None) and spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster"):
+        if not spark.sparkContext.getConf().get(SHARED_DIR, None):
+            spark.conf.set(SHARED_DIR, tempfile.mkdtemp(prefix="shared-"))
+    return shared_dir(spark)
 
 
 def stored(df: DataFrame) -> DataFrame:

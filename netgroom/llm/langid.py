@@ -9,6 +9,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from netgroom.llm.common import map_texts, table, texts
 from netgroom.llm.text import chunks
@@ -16,6 +17,12 @@ from netgroom.llm.text import chunks
 #: Bounds of the training sample: documents per language and bytes of normalised text per language.
 SAMPLE_DOCS = 64
 SAMPLE_BYTES = 40_000
+#: Bytes over all languages: with more than eight, each has an even part of this.
+TOTAL_BYTES = 320_000
+
+#: Least confidence of a kept document with so many letters: 0.5 is as good a match with the next language.
+MIN_SCORE, MIN_LETTERS = 0.502, 200
+_PRED, _SCORE = "netgroom_lang_pred", "netgroom_lang_score"
 
 _NO_LETTER = regex.compile(r"[^\p{L}\p{M}]+")
 _LETTER = regex.compile(r"\p{L}")
@@ -55,27 +62,36 @@ def automaton(data: bytes) -> list[dict[int, int]]:
 
 
 class Model:
-    """One dense automaton per language over the bytes that occur in any sample."""
+    """One automaton per language over the bytes that occur in any sample, kept as its transitions alone.
+
+    ``arrays`` is all that workers get: plain values and arrays, so a worker needs no copy of this class.
+    """
 
     def __init__(self, samples: dict[str, bytes]):
         used = sorted(set(b"".join(samples.values())))
-        self.width = len(used) + 1
         codes = np.zeros(256, np.uint8)
         codes[used] = np.arange(1, len(used) + 1)
-        self.codes = codes.tobytes()
         self.langs = sorted(samples)
-        self.tables, self.weights = [], []
+        self.arrays = {"codes": codes.tobytes(), "width": len(used) + 1, "langs": self.langs, "weights": [], "moves": []}
         for lang in self.langs:
-            moves = automaton(samples[lang].translate(self.codes))
-            dense = np.zeros((len(moves), self.width), np.int32)
-            for s, row in enumerate(moves):
-                for c, t in row.items():
-                    dense[s, c] = t * self.width
-            self.tables.append(dense.ravel())
-            self.weights.append(math.log2(len(samples[lang]) + 2))
+            moves = automaton(samples[lang].translate(codes.tobytes()))
+            state = np.repeat(np.arange(len(moves), dtype=np.int32), [len(m) for m in moves])
+            byte = np.array([c for m in moves for c in m], np.uint8)
+            target = np.array([t for m in moves for t in m.values()], np.int32)
+            self.arrays["moves"].append((len(moves), state, byte, target))
+            self.arrays["weights"].append(math.log2(len(samples[lang]) + 2))
+
+
+class Reader:
+    """Cross-parsing by the automata of a model's arrays."""
 
-    def walkers(self) -> list[list[int]]:
-        return [t.tolist() for t in self.tables]
+    def __init__(self, arrays: dict):
+        self.langs, self.codes, self.weights = arrays["langs"], arrays["codes"], arrays["weights"]
+        width, self.walks = arrays["width"], []
+        for states, state, byte, target in arrays["moves"]:
+            dense = np.zeros(states * width, np.int32)
+            dense[state.astype(np.int64) * width + byte] = target * width
+            self.walks.append(dense.tolist())
 
     @staticmethod
     def phrases(walk: list[int], data: bytes) -> int:
@@ -88,12 +104,12 @@ class Model:
                 state = walk[c]
         return n
 
-    def predict(self, text: str | None, walks: list[list[int]]) -> tuple[str, float, float]:
+    def predict(self, text: str | None) -> tuple[str, float, float]:
         """Language, confidence and bits per byte; ``und`` without letters or languages."""
         if not text or not self.langs or not _LETTER.search(text):
             return "und", 0.0, 0.0
         data = normal(text).translate(self.codes)
-        cost = [self.phrases(w, data) * b / len(data) for w, b in zip(walks, self.weights)]
+        cost = [self.phrases(w, data) * b / len(data) for w, b in zip(self.walks, self.weights)]
         order = sorted(range(len(cost)), key=lambda k: (cost[k], self.langs[k]))
         best = order[0]
         score = 1.0 if len(order) == 1 else cost[order[1]] / (cost[best] + cost[order[1]])
@@ -113,11 +129,12 @@ def sample(parts: list[tuple[int, bytes]], size: int) -> bytes:
     return b" ".join(out)
 
 
-def fit(labelled: DataFrame, docs: int = SAMPLE_DOCS, size: int = SAMPLE_BYTES) -> Model:
+def fit(labelled: DataFrame, docs: int = SAMPLE_DOCS, size: int = SAMPLE_BYTES, total: int = TOTAL_BYTES) -> Model:
     """Train on ``labelled`` (id, text, lang): at most ``docs`` different texts a language, by hash order.
 
     Texts share ``size`` bytes evenly, and what short ones leave goes to the others; of a
-    text longer than its share a window at a hashed place is learned.
+    text longer than its share a window at a hashed place is learned.  All languages together
+    have at most ``total`` bytes, which bounds the model whatever their number.
     A sample alone is fitted; nothing else passes the driver.  Rows without a
     language or text do not count.
     """
@@ -136,6 +153,7 @@ def fit(labelled: DataFrame, docs: int = SAMPLE_DOCS, size: int = SAMPLE_BYTES)
     for row in found.distinct().toLocalIterator():
         grouped.setdefault(row.lang, []).append((row.id, row.h, row.text))
     samples = {}
+    size = min(size, max(1, total // max(len(grouped), 1)))
     for lang, chosen_texts in grouped.items():
         data = sample([(h, normal(t)) for _, h, t in sorted(chosen_texts)], size)
         if data.strip():
@@ -150,30 +168,50 @@ def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     language was learned; ties go to the language that sorts first; repeated
     rows are answered each.
     """
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = df.sparkSession.sparkContext.broadcast(model.arrays)
 
     def make():
-        learned = shared.value
-        walks = learned.walkers()
-        return lambda i, text: [(i, *learned.predict(text, walks))]
+        reader = Reader(shared.value)
+        return lambda i, text: [(i, *reader.predict(text))]
 
     schema = "id long, lang_pred string, score double, bits double"
     return map_texts(texts(df, id_col, text_col), schema, make).withColumnRenamed("id", id_col)
 
 
-def keep_identified(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` whose text has a language (is not ``und``), with all their columns."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
+def with_language(df: DataFrame, model: Model, text_col: str = "text", into: str = "lang_pred", score: str = "lang_score") -> DataFrame:
+    """``df`` with the language and the confidence of each text in two more columns (replaced if there)."""
+    shared = df.sparkSession.sparkContext.broadcast(model.arrays)
+    base = df.drop(into, score)
+    kept = base.columns
 
     def run(batches):
-        learned = shared.value
-        walks = learned.walkers()
+        reader = Reader(shared.value)
         for batch in batches:
             for part in chunks(batch, text_col):
-                column = part.column(part.schema.get_field_index(text_col)).to_pylist()
-                yield part.filter(pa.array([learned.predict(t, walks)[0] != "und" for t in column], pa.bool_()))
+                found = [reader.predict(t) for t in part.column(part.schema.get_field_index(text_col)).to_pylist()]
+                columns = [*part.columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
+                yield pa.RecordBatch.from_arrays(columns, [*kept, into, score])
 
-    return df.mapInArrow(run, df.schema)
+    return base.mapInArrow(run, T.StructType([*base.schema.fields, T.StructField(into, T.StringType()), T.StructField(score, T.DoubleType())]))
+
+
+def keep_identified(df: DataFrame, model: Model, min_score: float = MIN_SCORE, languages: list[str] | None = None, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of ``df`` whose text has a language, with all their columns.
+
+    A text is rejected without letters, with ``MIN_LETTERS`` or more and a confidence under
+    ``min_score`` (no language fits it better than the next), or, if ``languages`` are given, in another
+    language.  A null ``lang_col`` is filled with the language found; other values stay.  Repeated
+    rows are judged alike; an empty table stays empty, and without a learned language all rows go.
+    """
+    found = with_language(df, model, text_col, _PRED, _SCORE)
+    letters = F.length(F.regexp_replace(F.col(f"`{text_col}`"), r"\P{L}+", ""))
+    good = (F.col(_PRED) != "und") & ((F.col(_SCORE) >= min_score) | (letters < MIN_LETTERS))
+    if languages is not None:
+        good &= F.col(_PRED).isin(list(languages))
+    out = found.where(good)
+    if lang_col in df.columns:
+        out = out.withColumn(lang_col, F.coalesce(F.col(f"`{lang_col}`"), F.col(_PRED)))
+    return out.select(*(F.col(f"`{c}`") for c in df.columns))
 
 
 def held_out(id_col: str = "doc_id"):
