@@ -9,10 +9,13 @@ import re
 from itertools import chain
 
 import ahocorasick
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from netgroom.llm.common import map_texts, table, texts
+from netgroom.llm.text import chunks
 
 #: Segments, and pieces, in one generation of a worker's tables, and the longest kept; pairs kept.
 CACHE, KEPT, PAIRS = 150_000, 64, 1_000_000
@@ -204,6 +207,20 @@ def warm(ranks, pattern: str) -> Bpe:
     return _kept[key]
 
 
+def _shared(df: DataFrame, path: str):
+    """The ranks of a file (a fixed vocabulary) as a broadcast (digest, table)."""
+    learned = read_ranks(path)
+    digest = hashlib.sha256(repr(sorted(learned.items())).encode()).hexdigest()
+    return df.sparkSession.sparkContext.broadcast((digest, learned))
+
+
+def _digests(bpe: Bpe, text: str) -> tuple[list[int], int, str, str, bool]:
+    ids = bpe.encode(text)
+    back = bpe.decode(ids)
+    listed = ",".join(map(str, ids)).encode()
+    return ids, len(ids), hashlib.sha256(listed).hexdigest(), hashlib.sha256(back).hexdigest(), back == text.encode()
+
+
 def bpe_digests(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Ids of every text, decoded again: (id, n_tokens, ids_sha256, decoded_sha256, lossless).
 
@@ -211,25 +228,42 @@ def bpe_digests(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
     null or empty text has no tokens; repeated rows are answered each; a very
     long text takes memory in proportion to itself alone.
     """
-    learned = read_ranks(path)
-    digest = hashlib.sha256(repr(sorted(learned.items())).encode()).hexdigest()
-    ranks = df.sparkSession.sparkContext.broadcast((digest, learned))
+    ranks = _shared(df, path)
 
     def make():
         bpe = warm(ranks, pattern)
-
-        def work(i, text):
-            ids = bpe.encode(text or "")
-            back = bpe.decode(ids)
-            listed = ",".join(map(str, ids)).encode()
-            yield i, len(ids), hashlib.sha256(listed).hexdigest(), hashlib.sha256(back).hexdigest(), back == (text or "").encode()
-
-        return work
+        return lambda i, text: [(i, *_digests(bpe, text or "")[1:])]
 
     schema = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string, lossless boolean"
     return map_texts(texts(df, id_col, text_col), schema, make).withColumnRenamed("id", id_col)
 
 
+_ADDED = ["token_ids", "n_tokens", "ids_sha256", "decoded_sha256", "lossless"]
+
+
+def with_tokens(df: DataFrame, path: str, pattern: str, text_col: str = "text") -> DataFrame:
+    """``df`` with the token ids of every text and their digests in five more columns (replaced if there).
+
+    A null or empty text has no tokens; all other columns, repeated rows and rows without an id stay as they are.
+    """
+    ranks = _shared(df, path)
+    base = df.drop(*_ADDED)
+    kept = base.columns
+
+    def run(batches):
+        bpe = warm(ranks, pattern)
+        kinds = [pa.list_(pa.int32()), pa.int64(), pa.string(), pa.string(), pa.bool_()]
+        for batch in batches:
+            for part in chunks(batch, text_col):
+                found = [_digests(bpe, t or "") for t in part.column(part.schema.get_field_index(text_col)).to_pylist()]
+                added = [pa.array([f[k] for f in found], kind) for k, kind in enumerate(kinds)]
+                yield pa.RecordBatch.from_arrays([*part.columns, *added], [*kept, *_ADDED])
+
+    added = [T.StructField("token_ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType())]
+    added += [T.StructField(c, T.StringType()) for c in ("ids_sha256", "decoded_sha256")] + [T.StructField("lossless", T.BooleanType())]
+    return base.mapInArrow(run, T.StructType([*base.schema.fields, *added]))
+
+
 def op5_bpe(spark, sf_dir):
     import public_tokenizers
 
