@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import struct
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -17,8 +18,8 @@ from netgroom.llm.text import chunks
 CAPACITY, END = 4096, 2
 #: Tokens that a full bin of a class may leave empty.
 SLACK = 1
-#: Segments, and words, whose ids a worker keeps, and the longest of them.
-CACHE, KEPT_BYTES = 300_000, 64
+#: Segments, and words, in one generation of a worker's tables, and the longest kept.
+SEGMENTS, WORDS, KEPT = 300_000, 300_000, 64
 
 _TOKEN = 4
 
@@ -28,58 +29,80 @@ _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]*")
 _WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 
 
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in byte-level vocabularies: itself if printable, else the next free one from 256 on."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b != 173]
+    hidden = [b for b in range(256) if b not in shown]
+    return [chr(256 + hidden.index(b)) if b in hidden else chr(b) for b in range(256)]
+
+
 class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit numbers, by a file of the tokenizers library.
 
     The file lower-cases a text, drops its white space and joins tokens within the words of a pattern
     only.  So a text's ids are those of its segments between ASCII white space, and a plain
-    segment's are those of its words; both are kept.  All other segments go to the library whole.
+    segment's are those of its words, which the library's model is asked for; both are kept in two
+    bounded generations.  All other segments go to the library whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.model = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.model.get_added_tokens_decoder().values()]
+        self.whole = Tokenizer.from_file(path)
+        self.model = self.whole.model
+        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        self.letters = _byte_letters()
         self.segments: dict[bytes, bytes] = {}
+        self.older_segments: dict[bytes, bytes] = {}
         self.words: dict[str, bytes] = {}
-
-    def _ask(self, parts: list[str]) -> list[bytes]:
-        found = self.model.encode_batch_fast(parts, add_special_tokens=False)
-        return [b"".join([i.to_bytes(_TOKEN, "little") for i in f.ids]) for f in found]
-
-    def _words_of(self, text: str) -> list[str] | None:
-        if _PLAIN.fullmatch(text) and not any(s in text for s in self.special):
-            return _WORDS.findall(text.lower())
-        return None
-
-    def _learn(self, parts: list[bytes]) -> dict[bytes, bytes]:
-        """Ids of each segment."""
-        cut = [(p, text, self._words_of(text)) for p in parts for text in (p.decode(),)]
-        if len(self.words) > CACHE:
-            self.words.clear()
-        unknown = list({w for _, _, words in cut if words is not None for w in words if w not in self.words})
-        self.words.update(zip(unknown, self._ask(unknown)))
-        whole = [text for _, text, words in cut if words is None]
-        asked = iter(self._ask(whole))
-        out = {p: next(asked) if words is None else b"".join([self.words[w] for w in words]) for p, _, words in cut}
-        for w in unknown:
-            if len(w) > KEPT_BYTES:
-                del self.words[w]
-        return out
+        self.older_words: dict[str, bytes] = {}
+
+    def _word(self, word: str) -> bytes:
+        ids = self.words.get(word)
+        if ids is None:
+            ids = self.older_words.get(word)
+            if ids is None:
+                shown = word if word.isascii() else "".join(map(self.letters.__getitem__, word.encode()))
+                ids = _pack([t.id for t in self.model.tokenize(shown)])
+            if len(word) <= KEPT:
+                if len(self.words) >= WORDS:
+                    self.words, self.older_words = {}, self.words
+                self.words[word] = ids
+        return ids
+
+    def _segment(self, part: bytes) -> bytes:
+        ids = self.segments.get(part)
+        if ids is None:
+            ids = self.older_segments.get(part)
+            if ids is None:
+                if part.isalpha():
+                    ids = self._word(part.lower().decode())
+                elif part[:-1].isalpha() and 32 < part[-1] < 127:
+                    ids = self._word(part[:-1].lower().decode()) + self._word(chr(part[-1]))
+                else:
+                    text = part.decode()
+                    if _PLAIN.fullmatch(text) and not any(s in text for s in self.special):
+                        ids = b"".join([self._word(w) for w in _WORDS.findall(text.lower())])
+                    else:
+                        ids = _pack(self.whole.encode(text, add_special_tokens=False).ids)
+            if len(part) <= KEPT:
+                if len(self.segments) >= SEGMENTS:
+                    self.segments, self.older_segments = {}, self.segments
+                self.segments[part] = ids
+        return ids
 
     def encode(self, text: str) -> bytes:
         parts = text.encode("utf-8", "replace").split()
-        known = self.segments
-        missing = {p for p in parts if p not in known}
-        if not missing:
-            return b"".join([known[p] for p in parts])
-        fresh = self._learn(list(missing))
-        out = b"".join([known[p] if p in known else fresh[p] for p in parts])
-        if len(known) > CACHE:
-            known.clear()
-        known.update((p, ids) for p, ids in fresh.items() if len(p) <= KEPT_BYTES)
-        return out
+        out = list(map(self.segments.get, parts))
+        if None in out:
+            for k, ids in enumerate(out):
+                if ids is None:
+                    out[k] = self._segment(parts[k])
+        return b"".join(out)
+
+
+def _pack(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def lengths(capacity: int = CAPACITY, slack: int = SLACK) -> list[int]:
