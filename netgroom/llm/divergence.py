@@ -11,60 +11,73 @@ from pyspark.sql import functions as F
 
 from netgroom.llm.common import stored, table
 from netgroom.llm.ranking import numbered
-from netgroom.llm.text import chunks
+from netgroom.llm.text import LOWER, buffers, chunks, text_of, word_spans
 
 #: Documents that a kept term stands in at least, and the scale of shares.
 DOCS, SCALE = 10, 1_000_000_000
-#: Terms of a bitmap, sources of a tile, and (term, source) counts that a task gathers before it passes them on.
-BITS, TILE, GATHER = 4096, 8, 500_000
-
-_LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
+#: Terms of a bitmap, sources of a tile, counts that a task gathers before it passes them on, and bytes counted at a time.
+BITS, TILE, GATHER, CHUNK = 4096, 8, 2_000_000, 4 << 20
+
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
+
+
+def _count(batch: pa.RecordBatch, groups: dict[tuple[str, str], int]) -> pa.Table:
+    """(group, term, n, docs) of the texts of a batch; ``groups`` numbers the pairs of language and source."""
+    langs, sources = (batch.column(c).to_pylist() for c in (0, 1))
+    group = np.array([groups.setdefault(key, len(groups)) for key in zip(langs, sources)], np.int64)
+    raw, at = buffers(batch.column(2))
+    starts, ends = word_spans(raw, at, _LETTER)
+    offsets = np.concatenate(([0], np.cumsum(ends - starts)))
+    letters = LOWER[raw[_LETTER[raw]]]
+    terms = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(letters)]).dictionary_encode()
+    size = max(len(terms.dictionary), 1)
+    # each term once for each document, then once for each group
+    own, n = np.unique(text_of(starts, at) * size + terms.indices.to_numpy(), return_counts=True)
+    both, place = np.unique(group[own // size] * size + own % size, return_inverse=True)
+    counts = [np.bincount(place, w, len(both)).astype(np.int64) for w in (n, None)]
+    return pa.table({"group": both // size, "term": terms.dictionary.take(pa.array(both % size)), "n": counts[0], "docs": counts[1]})
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
-    """(lang, term, sources, counts, docs) of ``docs`` (lang, source, text), summed up in tasks over many documents.
+    """(lang, term, source, n, docs): occurrences, and documents that hold the term, of ``docs`` (lang, source, text).
 
-    Terms are runs of ASCII letters, taken in lower case, and of characters beyond ASCII.  A row
-    lists the sources of a term with its occurrences and documents there.
+    Terms are runs of ASCII letters, taken in lower case, and of characters beyond ASCII.  Counts
+    are summed up in tasks over many documents, so a term has few rows for each task.
     """
-    arrow = pa.schema([("lang", pa.string()), ("term", pa.string()), ("sources", pa.list_(pa.string())), ("counts", pa.list_(pa.int64())), ("docs", pa.list_(pa.int64()))])
+    names = ["lang", "term", "source", "n", "docs"]
 
     def run(batches):
-        seen: dict[tuple[str, bytes], dict[str, list[int]]] = defaultdict(dict)
-        held = 0
-
-        def emit():
-            for at in range(0, len(order := list(seen)), 20_000):
-                keys = order[at : at + 20_000]
-                places = [seen[k] for k in keys]
-                columns = [
-                    [k[0] for k in keys], [k[1].decode() for k in keys], [list(p) for p in places],
-                    [[c[0] for c in p.values()] for p in places], [[c[1] for c in p.values()] for p in places],
-                ]
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
+        groups: dict[tuple[str, str], int] = {}
+        held: list[pa.Table] = []
+
+        def merged() -> pa.Table:
+            return pa.concat_tables(held).group_by(["group", "term"]).aggregate([("n", "sum"), ("docs", "sum")])
+
+        def emit(table: pa.Table):
+            table = table.sort_by("term")
+            shown = [pa.array([g[k] for g in groups], pa.string()) for k in (0, 1)]
+            group = table.column("group")
+            term = table.column("term").cast(pa.large_string()).cast(pa.string())
+            columns = [shown[0].take(group), term, shown[1].take(group), table.column("n_sum"), table.column("docs_sum")]
+            yield from pa.table(columns, names).to_batches(50_000)
 
+        rows, last = 0, 0
         for batch in batches:
-            for part in chunks(batch, "text"):
-                for lang, source, text in zip(*(c.to_pylist() for c in part.columns)):
-                    own: dict[bytes, int] = defaultdict(int)
-                    for term in text.encode().translate(_LETTERS).split():
-                        own[term] += 1
-                    for term, n in own.items():
-                        there = seen[lang, term]
-                        count = there.get(source)
-                        if count is None:
-                            there[source] = [n, 1]
-                            held += 1
-                        else:
-                            count[0] += n
-                            count[1] += 1
-                if held >= GATHER:
-                    yield from emit()
-                    seen.clear()
-                    held = 0
-        yield from emit()
-
-    return docs.select("lang", "source", "text").mapInArrow(run, "lang string, term string, sources array<string>, counts array<long>, docs array<long>")
+            for part in chunks(batch, "text", CHUNK):
+                held.append(_count(part, groups))
+                rows += held[-1].num_rows
+                if rows - last >= GATHER:
+                    table = merged()
+                    if table.num_rows >= GATHER:
+                        yield from emit(table)
+                        held, rows, last = [], 0, 0
+                    else:
+                        held, rows, last = [table.rename_columns(["group", "term", "n", "docs"])], table.num_rows, table.num_rows
+        if held:
+            yield from emit(merged())
+
+    return docs.select("lang", "source", "text").mapInArrow(run, "lang string, term string, source string, n long, docs long")
 
 
 def share(count: Column, total: Column, kept: Column) -> Column:
@@ -185,10 +198,8 @@ def audit_sources(df: DataFrame, min_docs: int = DOCS, top: int = 10, text_col:
     groups = docs.select("lang", "source").distinct()
 
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    by_term = term_counts(docs).repartition(parts, "lang", "term")
-    listed = by_term.select("lang", "term", F.inline(F.arrays_zip("sources", "counts", "docs")).alias("source", "n", "docs"))
-    # sums by source and over the sources of a term: rows of a term already lie together
-    counts = listed.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    # sums by source and over the sources of a term: rows of a term then lie together
+    counts = term_counts(docs).repartition(parts, "lang", "term").groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     term = Window.partitionBy("lang", "term")
     counts = counts.withColumns({"lang_n": F.sum("n").over(term), "lang_docs": F.sum("docs").over(term)})
     kept = stored(counts.where(F.col("lang_docs") >= min_docs).drop("docs", "lang_docs"))
