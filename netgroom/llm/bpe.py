@@ -18,7 +18,7 @@ from netgroom.llm.common import map_texts, table, texts
 from netgroom.llm.text import chunks
 
 #: Segments, and pieces, in one generation of a worker's tables, and the longest kept; pairs kept.
-CACHE, KEPT, PAIRS = 150_000, 64, 1_000_000
+CACHE, KEPT, PAIRS = 300_000, 64, 1_000_000
 #: A space between two characters that are no white space: with such a space a piece begins.
 _CUT = re.compile(r" (?<=\S )(?=\S)")
 
@@ -48,6 +48,8 @@ class Bpe:
             self.ends.add_word(data.decode("latin-1"), (len(data), i))
         self.ends.make_automaton()
         self.width = max(self.bytes_of) + 1
+        self.sizes = [len(self.bytes_of.get(i, b"")) for i in range(self.width)]
+        self.names = list(map(str, range(self.width)))
         #: Merging steps of the tokens tried so far; None for those that do not merge to themselves.
         self.traces: dict[int, list[tuple[float, bytes, bytes]] | None] = {}
         #: Whether a token may follow another, under left * width + right; left is -1 at the start.
@@ -112,21 +114,19 @@ class Bpe:
         last.extend([-1] * (n - done))
         for at, (size, token) in self.ends.iter(data[first:n].decode("latin-1")):
             at += first
-            if last[at] >= 0:
-                continue
-            start = at + 1 - size
-            left = last[start - 1] if start else -1
-            if start and left < 0:
-                continue
-            key = left * width + token
-            good = fits.get(key)
-            if good is None:
-                if len(fits) >= PAIRS:
-                    fits.clear()
-                good = fits[key] = self._fits(left, token)
-            if good:
-                last[at] = token
-        if n > done and last[-1] < 0:
+            if last[at] < 0:
+                # before the start of a token stands the last one of that prefix; in front of all, the end of the list, still -1
+                key = last[at - size] * width + token
+                good = fits.get(key)
+                if good is None:
+                    if at >= size and last[at - size] < 0:
+                        continue
+                    if len(fits) >= PAIRS:
+                        fits.clear()
+                    good = fits[key] = self._fits(last[at - size], token)
+                if good:
+                    last[at] = token
+        if n > done and min(last[done:]) < 0:
             raise ValueError("the vocabulary lacks single bytes")
         return last
 
@@ -147,10 +147,11 @@ class Bpe:
         return changed, out
 
     def tokens(self, last: list[int]) -> list[int]:
-        out, at = [], len(last)
+        out, at, sizes = [], len(last), self.sizes
         while at:
-            out.append(last[at - 1])
-            at -= len(self.bytes_of[out[-1]])
+            token = last[at - 1]
+            out.append(token)
+            at -= sizes[token]
         return out[::-1]
 
     def piece(self, text: str) -> tuple[int, ...]:
@@ -159,34 +160,43 @@ class Bpe:
         whole = self.ranks.get(data)
         return (whole,) if whole is not None else tuple(self.tokens(self.append(data, [])))
 
-    def _segment(self, text: str) -> tuple[int, ...]:
-        """Ids of all pieces of a text."""
-        out: list[int] = []
-        for part in self.split.findall(text):
-            ids = self.pieces.get(part)
+    def _piece(self, part: str) -> tuple[int, ...]:
+        ids = self.pieces.get(part)
+        if ids is None:
+            ids = self.older.get(part) or self.piece(part)
+            if len(part) <= KEPT:
+                if len(self.pieces) >= CACHE:
+                    self.pieces, self.older = {}, self.pieces
+                self.pieces[part] = ids
+        return ids
+
+    def _segment(self, part: str) -> tuple[int, ...]:
+        """Ids of a space and the segment behind it."""
+        ids = self.segments.get(part)
+        if ids is None:
+            ids = self.older_segments.get(part)
             if ids is None:
-                ids = self.older.get(part) or self.piece(part)
-                if len(part) <= KEPT:
-                    if len(self.pieces) >= CACHE:
-                        self.pieces, self.older = {}, self.pieces
-                    self.pieces[part] = ids
-            out.extend(ids)
-        return tuple(out)
+                # a word of letters is one piece
+                if part.isascii() and part.isalpha():
+                    ids = self._piece(" " + part)
+                else:
+                    ids = tuple(chain.from_iterable(map(self._piece, self.split.findall(" " + part))))
+            if len(part) <= KEPT:
+                if len(self.segments) >= CACHE:
+                    self.segments, self.older_segments = {}, self.segments
+                self.segments[part] = ids
+        return ids
 
     def encode(self, text: str) -> list[int]:
-        """Ids of a text, from those of its segments between single spaces, each found once."""
+        """Ids of a text, from those of its segments between single spaces."""
         first, *rest = _CUT.split(text)
-        known = self.segments
-        long = []
-        for part in set(rest).difference(known):
-            known[part] = self.older_segments.get(part) or self._segment(" " + part)
-            if len(part) > KEPT:
-                long.append(part)
-        out = [*self._segment(first), *chain.from_iterable(map(known.__getitem__, rest))]
-        for part in long:
-            del known[part]
-        if len(known) >= CACHE:
-            self.segments, self.older_segments = {}, known
+        found = list(map(self.segments.get, rest))
+        if None in found:
+            for k, ids in enumerate(found):
+                if ids is None:
+                    found[k] = self._segment(rest[k])
+        out = list(chain.from_iterable(map(self._piece, self.split.findall(first))))
+        out.extend(chain.from_iterable(found))
         return out
 
     def decode(self, ids: list[int]) -> bytes:
@@ -217,7 +227,7 @@ def _shared(df: DataFrame, path: str):
 def _digests(bpe: Bpe, text: str) -> tuple[list[int], int, str, str, bool]:
     ids = bpe.encode(text)
     back = bpe.decode(ids)
-    listed = ",".join(map(str, ids)).encode()
+    listed = ",".join(map(bpe.names.__getitem__, ids)).encode()
     return ids, len(ids), hashlib.sha256(listed).hexdigest(), hashlib.sha256(back).hexdigest(), back == text.encode()
 
 
