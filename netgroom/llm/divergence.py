@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,27 +17,65 @@ from netgroom.llm.text import LOWER, buffers, chunks, text_of, word_spans
 #: Documents that a kept term stands in at least, and the scale of shares.
 DOCS, SCALE = 10, 1_000_000_000
 #: Terms of a bitmap, sources of a tile, counts that a task gathers before it passes them on, and bytes counted at a time.
-BITS, TILE, GATHER, CHUNK = 4096, 8, 2_000_000, 4 << 20
+BITS, TILE, GATHER, CHUNK = 4096, 8, 1_000_000, 2 << 20
+#: Bits of a task's number of a term, below that of its group.
+_TERM_BITS = 40
 
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
 
 
-def _count(batch: pa.RecordBatch, groups: dict[tuple[str, str], int]) -> pa.Table:
-    """(group, term, n, docs) of the texts of a batch; ``groups`` numbers the pairs of language and source."""
-    langs, sources = (batch.column(c).to_pylist() for c in (0, 1))
-    group = np.array([groups.setdefault(key, len(groups)) for key in zip(langs, sources)], np.int64)
-    raw, at = buffers(batch.column(2))
-    starts, ends = word_spans(raw, at, _LETTER)
-    offsets = np.concatenate(([0], np.cumsum(ends - starts)))
-    letters = LOWER[raw[_LETTER[raw]]]
-    terms = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(letters)]).dictionary_encode()
-    size = max(len(terms.dictionary), 1)
-    # each term once for each document, then once for each group
-    own, n = np.unique(text_of(starts, at) * size + terms.indices.to_numpy(), return_counts=True)
-    both, place = np.unique(group[own // size] * size + own % size, return_inverse=True)
-    counts = [np.bincount(place, w, len(both)).astype(np.int64) for w in (n, None)]
-    return pa.table({"group": both // size, "term": terms.dictionary.take(pa.array(both % size)), "n": counts[0], "docs": counts[1]})
+class _Tally:
+    """Counts of one task: arrays of (group and term) numbers, occurrences and documents."""
+
+    def __init__(self):
+        self.groups: dict[tuple[str, str], int] = {}
+        self.terms: dict[bytes, int] = {}
+        self.held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.rows = self.merged = 0
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        """Count the texts of a batch (lang, source, text)."""
+        langs, sources = (batch.column(c).to_pylist() for c in (0, 1))
+        group = np.array([self.groups.setdefault(key, len(self.groups)) for key in zip(langs, sources)], np.int64)
+        raw, at = buffers(batch.column(2))
+        starts, ends = word_spans(raw, at, _LETTER)
+        offsets = np.concatenate(([0], np.cumsum(ends - starts)))
+        letters = LOWER[raw[_LETTER[raw]]]
+        found = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(letters)]).dictionary_encode()
+        number = np.array([self.terms.setdefault(t, len(self.terms)) for t in found.dictionary.to_pylist()], np.int64)
+        size = max(len(number), 1)
+        # each term once for each document, then once for each group
+        own, n = np.unique(text_of(starts, at) * size + found.indices.to_numpy(), return_counts=True)
+        self._hold((group[own // size] << _TERM_BITS) + number[own % size], n, np.ones(len(own), np.int64))
+
+    def _hold(self, key, n, docs) -> None:
+        both, place = np.unique(key, return_inverse=True)
+        sums = [np.bincount(place, w, len(both)).astype(np.int64) for w in (n, docs)]
+        self.held.append((both, *sums))
+        self.rows += len(both)
+
+    def merge(self) -> int:
+        """Bring all counts together; their number."""
+        parts, self.held, self.rows = [np.concatenate(c) for c in zip(*self.held)], [], 0
+        self._hold(*parts)
+        self.merged = self.rows
+        return self.rows
+
+    def emit(self) -> Iterator[pa.RecordBatch]:
+        """All counts as rows (lang, term, source, n, docs), and forget them."""
+        if not self.held:
+            return
+        self.merge()
+        key, n, docs = self.held[0]
+        langs, sources = (pa.array([g[k] for g in self.groups], pa.string()) for k in (0, 1))
+        terms = pa.array(self.terms, pa.binary()).cast(pa.string())
+        for at in range(0, len(key), 50_000):
+            part = slice(at, at + 50_000)
+            group, term = pa.array(key[part] >> _TERM_BITS), pa.array(key[part] & ((1 << _TERM_BITS) - 1))
+            columns = [langs.take(group), terms.take(term), sources.take(group), pa.array(n[part]), pa.array(docs[part])]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "term", "source", "n", "docs"])
+        self.__init__()
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
@@ -45,37 +84,15 @@ def term_counts(docs: DataFrame) -> DataFrame:
     Terms are runs of ASCII letters, taken in lower case, and of characters beyond ASCII.  Counts
     are summed up in tasks over many documents, so a term has few rows for each task.
     """
-    names = ["lang", "term", "source", "n", "docs"]
 
     def run(batches):
-        groups: dict[tuple[str, str], int] = {}
-        held: list[pa.Table] = []
-
-        def merged() -> pa.Table:
-            return pa.concat_tables(held).group_by(["group", "term"]).aggregate([("n", "sum"), ("docs", "sum")])
-
-        def emit(table: pa.Table):
-            table = table.sort_by("term")
-            shown = [pa.array([g[k] for g in groups], pa.string()) for k in (0, 1)]
-            group = table.column("group")
-            term = table.column("term").cast(pa.large_string()).cast(pa.string())
-            columns = [shown[0].take(group), term, shown[1].take(group), table.column("n_sum"), table.column("docs_sum")]
-            yield from pa.table(columns, names).to_batches(50_000)
-
-        rows, last = 0, 0
+        tally = _Tally()
         for batch in batches:
             for part in chunks(batch, "text", CHUNK):
-                held.append(_count(part, groups))
-                rows += held[-1].num_rows
-                if rows - last >= GATHER:
-                    table = merged()
-                    if table.num_rows >= GATHER:
-                        yield from emit(table)
-                        held, rows, last = [], 0, 0
-                    else:
-                        held, rows, last = [table.rename_columns(["group", "term", "n", "docs"])], table.num_rows, table.num_rows
-        if held:
-            yield from emit(merged())
+                tally.add(part)
+                if tally.rows >= tally.merged + GATHER and tally.merge() >= GATHER:
+                    yield from tally.emit()
+        yield from tally.emit()
 
     return docs.select("lang", "source", "text").mapInArrow(run, "lang string, term string, source string, n long, docs long")
 
