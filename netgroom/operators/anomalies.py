@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from netgroom.operators.skew import HOT_ROWS, hot_keys, lookup
+from netgroom.operators.skew import salted_lookup
 from netgroom.sources.schema import ANOMALY, ANOMALY_INPUT_COLUMNS
 
 
@@ -124,11 +124,11 @@ def detect_anomalies(clean: DataFrame, rules: Sequence[Rule] | None = None) -> D
     )
 
 
-def duplicate_mac(clean: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def duplicate_mac(clean: DataFrame) -> DataFrame:
     """Devices that share their MAC address, with the group size and another row of the group.
 
     Counting is pre-aggregated before the shuffle and the join back to the rows
-    is balanced, so one address may hold any share of the table.
+    is salted by the counts, so one address may hold any share of the table, which is read twice.
     """
     rows = clean.where("mac IS NOT NULL").select("source_row_id", "mac")
     groups = rows.groupBy("mac").agg(
@@ -136,22 +136,29 @@ def duplicate_mac(clean: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         F.min("source_row_id").alias("_first"),
         F.max("source_row_id").alias("_last"),
     )
-    shared = groups.where("n > 1")
-    found = lookup(rows, shared, "mac", hot_keys(shared, "mac", hot_rows), "inner")
+    return with_other(salted_lookup(rows, groups.where("n > 1"), "mac"))
+
+
+def with_other(found: DataFrame) -> DataFrame:
+    """Rows of shared addresses with their group (``n``, ``_first``, ``_last``) as findings: the group size and another row."""
     other = F.when(F.col("source_row_id") == F.col("_first"), F.col("_last")).otherwise(F.col("_first"))
     return found.select("source_row_id", "mac", F.col("n").alias("devices"), other.alias("other_row_id"))
 
 
-def duplicate_mac_anomalies(clean: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def duplicate_mac_anomalies(clean: DataFrame) -> DataFrame:
     """:func:`duplicate_mac` as anomaly records."""
+    return shared_mac_records(duplicate_mac(clean))
+
+
+def shared_mac_records(found: DataFrame) -> DataFrame:
+    """Findings of shared addresses as anomaly records."""
     issue = F.concat(
         F.lit("MAC address is duplicate with another device (source_row_id "),
         F.col("other_row_id"),
         F.lit(")"),
     )
     return (
-        duplicate_mac(clean, hot_rows)
-        .select("source_row_id", _report(["mac"], issue, "modify", 90).alias("_report"))
+        found.select("source_row_id", _report(["mac"], issue, "modify", 90).alias("_report"))
         .select("source_row_id", "_report.*")
         .select(*ANOMALY.names)
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netgroom.operators.skew import HOT_ROWS, hot_keys, lookup
+from netgroom.operators.skew import left_lookup
 from netgroom.sources.schema import OWNER_COLUMNS
 
 ACCEPT_FROM = 70
@@ -61,38 +61,32 @@ def correct_owner(
     ).select(*clean.columns)
 
 
-def _one_per_row(proposals: DataFrame) -> DataFrame:
+def _one_per_row(proposals: DataFrame, key: str) -> DataFrame:
     """Fail when two proposals name the same row; otherwise the table as it is."""
     answer = F.struct(*OWNER_COLUMNS)
-    counted = proposals.groupBy("source_row_id").agg(
-        F.count(F.lit(1)).alias("_n"), F.any_value(answer).alias("_answer")
-    )
-    clash = F.concat(F.lit("more than one proposal for row "), F.col("source_row_id"))
+    counted = proposals.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.any_value(answer).alias("_answer"))
+    clash = F.concat(F.lit("more than one proposal for row "), F.col(key))
     checked = F.when(F.col("_n") > 1, F.raise_error(clash)).otherwise(F.col("_answer"))
-    return counted.select("source_row_id", checked.alias("_answer"))
+    return counted.select(key, checked.alias("_answer"))
 
 
-def merge_owner(
-    clean: DataFrame,
-    proposals: DataFrame,
-    threshold: float = ACCEPT_FROM,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+def merge_owner(clean: DataFrame, proposals: DataFrame, threshold: float = ACCEPT_FROM, key: str = "source_row_id") -> DataFrame:
     """Overwrite owner, e-mail and team of the rows with a confident proposal, also by NULL.
 
+    Proposals name their rows by ``key``: the row id, or a key of every row where ids are
+    repeated or missing (a proposal for a repeated key changes all its rows).  The proposals are
+    checked for a second one of the same row; the table is read once and joined once.
     Proposals for unknown rows have no effect, see :func:`unknown_proposals`.
     """
-    answers = _one_per_row(high_confidence(proposals, threshold).where("source_row_id IS NOT NULL"))
-    counts = clean.groupBy("source_row_id").agg(F.count(F.lit(1)).alias("n"))
-    hot = hot_keys(counts.where("source_row_id IS NOT NULL"), "source_row_id", hot_rows)
-    merged = lookup(clean, answers, "source_row_id", hot.join(answers, "source_row_id", "left"))
+    answers = _one_per_row(high_confidence(proposals, threshold).where(F.col(key).isNotNull()), key)
+    merged = left_lookup(clean, answers, key)
     found = F.col("_answer").isNotNull()
     return merged.withColumns(
         {c: F.when(found, F.col(f"_answer.{c}")).otherwise(F.col(c)) for c in OWNER_COLUMNS}
     ).select(*clean.columns)
 
 
-def unknown_proposals(clean: DataFrame, proposals: DataFrame) -> DataFrame:
+def unknown_proposals(clean: DataFrame, proposals: DataFrame, key: str = "source_row_id") -> DataFrame:
     """Proposals whose row is not in the table, and those without a row id."""
-    known = clean.select("source_row_id").distinct()
-    return proposals.join(known, "source_row_id", "left_anti").select(*proposals.columns)
+    known = clean.select(key).distinct()
+    return proposals.join(known, key, "left_anti").select(*proposals.columns)

@@ -26,8 +26,9 @@ def payloads(
 ) -> DataFrame:
     """Column-oriented JSON of the rows, at most ``rows_per_call`` in each text.
 
-    Rows that share an id cannot stand in one text and go to separate ones;
-    rows without an id cannot be answered and are left out.
+    Rows that share a key cannot stand in one text and go to separate ones; rows
+    without one cannot be answered and are left out (:func:`without_key` counts them).  A key of
+    every row, as the daily run gives it, avoids both.
     """
     columns = list(columns)
 
@@ -51,6 +52,11 @@ def payloads(
     return wanted.mapInPandas(cut, "n_rows long, payload string")
 
 
+def without_key(df: DataFrame, key: str = "source_row_id") -> int:
+    """Number of rows that :func:`payloads` leaves out."""
+    return df.where(F.col(key).isNull()).count()
+
+
 def ask(payload_table: DataFrame, model: Callable[[str], str]) -> DataFrame:
     """Send every payload to ``model``; a failed call leaves ``reply`` NULL and ``error`` filled.
 
@@ -71,8 +77,8 @@ def ask(payload_table: DataFrame, model: Callable[[str], str]) -> DataFrame:
     return payload_table.mapInPandas(call, schema)
 
 
-def owner_payloads(clean: DataFrame, rows_per_call: int = ROWS_PER_CALL) -> DataFrame:
-    return payloads(clean, OWNER_COLUMNS, rows_per_call=rows_per_call)
+def owner_payloads(clean: DataFrame, rows_per_call: int = ROWS_PER_CALL, key: str = "source_row_id") -> DataFrame:
+    return payloads(clean, OWNER_COLUMNS, key, rows_per_call)
 
 
 def anomaly_payloads(clean: DataFrame, rows_per_call: int = ROWS_PER_CALL) -> DataFrame:
@@ -109,15 +115,15 @@ _ANOMALY_TEXT = T.StructType(
 )
 
 
-def owner_reply_rows(replies: DataFrame, reply: str = "reply", first_row_id: int = 0) -> DataFrame:
+def owner_reply_rows(replies: DataFrame, reply: str = "reply", first_row_id: int = 0, key: str = "source_row_id") -> DataFrame:
     """Replies about owners as proposals, one row each; unreadable ones give no rows.
 
     ``first_row_id`` is added to the row numbers when a reply counts rows by position.
     """
-    rows = column_rows(replies, reply, _OWNER_TEXT)
+    rows = column_rows(replies, reply, _OWNER_TEXT, key)
     return rows.withColumns(
         {
-            "source_row_id": F.col("source_row_id").try_cast("long") + first_row_id,
+            key: F.col(key).try_cast("long") + first_row_id,
             "confidence_percentage": F.col("confidence_percentage").try_cast("double"),
         }
     )
@@ -142,13 +148,45 @@ def _records(reply: str) -> Column:
     )
 
 
+# What a record may recommend.
+ACTIONS = ["modify", "drop"]
+
+
+def _whole(record: Column) -> Column:
+    """A record that says all it must: a row, a list of field names, an issue, a known action, a confidence from 0 to 100."""
+    fields, confidence = record["affected_fields"], record["anomaly_confidence"]
+    named = (F.size(fields) > 0) & F.forall(fields, lambda f: f.isNotNull())
+    good = record["source_row_id"].isNotNull() & fields.isNotNull() & named & record["issue_type"].isNotNull()
+    return F.coalesce(good & record["recommended_action"].isin(ACTIONS) & confidence.between(0, 100), F.lit(False))
+
+
 def anomaly_reply_rows(replies: DataFrame, reply: str = "reply") -> DataFrame:
     """Replies holding a list of anomaly records, one row for each record."""
     return replies.select(F.inline(_records(reply)))
 
 
+def readable_anomaly_reply(reply: str = "reply") -> Column:
+    """Whether a reply is a list of whole records; a list without any says that nothing was found."""
+    listed = F.trim(F.col(reply)).startswith("[")
+    return F.coalesce(F.forall(_records(reply), _whole) & listed, F.lit(False))
+
+
 def unreadable_anomaly_replies(replies: DataFrame, reply: str = "reply") -> DataFrame:
-    """The replies that are no list of records with a row id each, failed calls included."""
-    whole = F.forall(_records(reply), lambda r: r["source_row_id"].isNotNull())
+    """The replies that are no list of whole records, failed calls included."""
+    return replies.where(~readable_anomaly_reply(reply))
+
+
+def audit_anomaly_replies(replies: DataFrame, reply: str = "reply") -> DataFrame:
+    """``replies`` with ``readable``, the number of ``records`` and of those that are ``whole``.
+
+    A reply that is no list has no records.
+    """
     listed = F.trim(F.col(reply)).startswith("[")
-    return replies.where(~F.coalesce(whole & listed, F.lit(False)))
+    records = F.when(listed, _records(reply))
+    return replies.withColumns(
+        {
+            "readable": readable_anomaly_reply(reply),
+            "records": F.coalesce(F.size(records), F.lit(0)).cast("long"),
+            "whole": F.coalesce(F.size(F.filter(records, _whole)), F.lit(0)).cast("long"),
+        }
+    )

@@ -5,36 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it has more rows than this ...
-HOT_ROWS = 100_000
-# ... and is among the most frequent ones.  Hot keys are broadcast, so this number also
-# bounds the broadcast.  Any other key has at most 1/HOT_KEYS of all rows.
-HOT_KEYS = 10_000
+#: A key is hot when it has more than this part of all counted rows.  So there are at most as many
+#: hot keys, whatever the size of the table, and their list may be broadcast.
+HOT_PART = 1000
 
 
-def hot_keys(counted: DataFrame, key: str, hot_rows: int = HOT_ROWS, at_most: int = HOT_KEYS) -> DataFrame:
-    """The rows of ``counted`` (one for each key, with its frequency ``n``) that are too large for one task."""
-    return counted.where(F.col("n") > hot_rows).orderBy(F.desc("n"), key).limit(at_most)
+def salted_lookup(rows: DataFrame, table: DataFrame, key: str, n: str = "n") -> DataFrame:
+    """Inner join of ``rows`` with ``table``, which has one row for each key and its frequency ``n`` in ``rows``.
+
+    Rows of a hot key are dealt over salts in number to its share, so no task meets more than about a
+    thousandth of the counted rows for one key; the answers of hot keys, at most a thousand, are
+    repeated for each salt.  ``rows`` is read once, and the counts behind ``table`` need one reading more.
+    """
+    answers = [c for c in table.columns if c != key]
+    spark = rows.sparkSession
+    salts = f"int(ceil({n} * {HOT_PART} / (SELECT sum({n}) FROM {{counted}})))"
+    counted = spark.sql(f"SELECT *, {salts} AS _salts FROM {{counted}}", counted=table)
+    hot = counted.where("_salts > 1").select(key, F.col("_salts").alias("_hot"))
+    dealt = rows.join(F.broadcast(hot), key, "left")
+    salt = F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64(*rows.columns), F.col("_hot"))).otherwise(F.lit(0)).cast("int")
+    copies = counted.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.greatest(F.col("_salts"), F.lit(1)) - 1)))
+    return dealt.withColumn("_salt", salt).join(copies, [key, "_salt"]).select(*rows.columns, *answers)
 
 
-def lookup(rows: DataFrame, table: DataFrame, key: str, hot: DataFrame, how: str = "left") -> DataFrame:
-    """Join ``rows`` to ``table``, which has one row for each key; ``how`` is left or inner.
+def left_lookup(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """Left join of ``rows`` with ``table``, which has one row for each key.
 
-    ``hot`` holds the hot keys with the columns of ``table``.  Rows of a hot key
-    get their answer from this small broadcast and are not shuffled, nor are
-    rows without a key.  All others take an ordinary join, in which every key
-    is small.  Usually the first two parts cost nothing: adaptive execution
-    drops joins with an empty broadcast, and a stored table without missing
-    keys is skipped by its statistics.
+    Rows without a key have no answer; they are dealt over many tasks and not sent to one.
     """
+    spread = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*rows.columns), F.lit(HOT_PART)) + 1).otherwise(F.lit(0))
     answers = [c for c in table.columns if c != key]
-    small = hot.select(key, F.struct(*answers).alias("_hot"))
-    present = rows if how == "inner" else rows.where(F.col(key).isNotNull())
-    near = present.join(F.broadcast(small), key, "left")
-    is_hot = F.col("_hot").isNotNull()
-    direct = near.where(is_hot).select(*rows.columns, *[F.col(f"_hot.{c}").alias(c) for c in answers])
-    spread = near.where(~is_hot).select(*rows.columns).join(table, key, how)
-    found = direct.unionByName(spread.select(*rows.columns, *answers))
-    if how == "inner":
-        return found
-    return found.unionByName(rows.where(F.col(key).isNull()), allowMissingColumns=True)
+    side = table.where(F.col(key).isNotNull()).withColumns({"_key": F.col(key), "_spread": F.lit(0).cast("long")}).drop(key)
+    dealt = rows.withColumn("_spread", spread.cast("long"))
+    on = (dealt[key] == side["_key"]) & (dealt["_spread"] == side["_spread"])
+    return dealt.join(side, on, "left").select(*(dealt[c] for c in rows.columns), *(side[c] for c in answers))

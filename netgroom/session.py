@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 SHARED_DIR = "spark.checkpoint.dir"
@@ -23,6 +28,9 @@ def local_session(name: str = "netgroom", cores: int | str = 8, **conf: str) ->
     return spark
 
 
+_HUGE = "spark.sql.codegen.hugeMethodLimit"
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Set the one option the cleaning plans profit from.
 
@@ -31,13 +39,39 @@ def tune(spark: SparkSession) -> SparkSession:
     then runs the projections one by one, each in compiled pieces, which takes
     about half the time.
     """
-    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    spark.conf.set(_HUGE, "8000")
     return spark
 
 
+@contextmanager
+def tuned(spark: SparkSession) -> Iterator[SparkSession]:
+    """:func:`tune` for a while; afterwards the option is what it was."""
+    before = spark.conf.get(_HUGE)
+    try:
+        yield tune(spark)
+    finally:
+        spark.conf.set(_HUGE, before)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder shared by all executors that the cluster names for intermediate tables."""
     folder = spark.conf.get(SHARED_DIR, None) or spark.sparkContext.getConf().get(SHARED_DIR, None)
     if not folder:
         raise ValueError(f"set {SHARED_DIR} or give a folder that all executors share")
     return folder.rstrip("/")
+
+
+def own_dir(spark: SparkSession, kind: str, out: str) -> str:
+    """A folder for intermediate tables of what is published in ``out``: one for each, so that two never meet."""
+    return f"{shared_dir(spark)}/netgroom/{kind}-{hashlib.sha256(out.rstrip('/').encode()).hexdigest()[:16]}"
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """:func:`shared_dir`; where none is named and one machine runs all, a temporary folder."""
+    master = spark.sparkContext.master
+    if master.startswith("local") and not master.startswith("local-cluster"):
+        try:
+            return shared_dir(spark)
+        except ValueError:
+            return tempfile.mkdtemp(prefix="netgroom-")
+    return shared_dir(spark)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from netgroom.operators.payload import owner_reply_rows
+from netgroom.sources.records import header_of, line_records, lines_of, read_records
 from netgroom.sources.schema import ANOMALY, CLEAN, NA_TOKENS, RAW_COLUMNS, STEP
 
 CSV_FILES = "*.[cC][sS][vV]"
@@ -34,22 +35,14 @@ def csv_options(multiline: bool) -> dict[str, str]:
     }
 
 
-def checked_lines(df: DataFrame, n_columns: int) -> DataFrame:
-    """Fail on lines that hold a quoted line break or too many values; short lines are filled with NULL."""
-    line = F.col(CORRUPT)
-    outside_quotes = F.regexp_replace(line, '"[^"]*"', "")
-    n_quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
-    n_commas = F.length(outside_quotes) - F.length(F.replace(outside_quotes, F.lit(","), F.lit("")))
-    row = F.concat(F.lit("row "), F.coalesce(F.col("source_row_id"), F.lit("?")), F.lit(": "))
-    broken = F.raise_error(F.concat(row, F.lit("quoted line break, read with multiline=True")))
-    too_long = F.raise_error(F.concat(row, F.lit("too many values")))
-    problem = F.when(n_quotes % 2 == 1, broken).when(n_commas >= n_columns, too_long)
-    return df.where(problem.isNull()).drop(CORRUPT)
-
-
-def checked_options() -> dict[str, str]:
-    """Options of a split reader whose lines :func:`checked_lines` looks at."""
-    return csv_options(False) | {"columnNameOfCorruptRecord": CORRUPT, "columnPruning": "false"}
+def _plain_records(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
+    """Records of files without quotes, by Spark's own reader; too many values are an error, short lines are filled with NULL."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, CORRUPT]])
+    options = csv_options(False) | {"columnNameOfCorruptRecord": CORRUPT, "columnPruning": "false"}
+    lines = spark.read.options(**options).schema(schema).csv(path)
+    n_commas = F.length(CORRUPT) - F.length(F.replace(F.col(CORRUPT), F.lit(","), F.lit("")))
+    too_long = F.raise_error(F.concat(F.lit("row "), F.coalesce(F.col(names[0]), F.lit("?")), F.lit(": too many values")))
+    return lines.where(F.when(n_commas >= len(names), too_long).isNull()).drop(CORRUPT)
 
 
 def null_tokens(df: DataFrame) -> DataFrame:
@@ -62,23 +55,26 @@ def typed_row_id(df: DataFrame) -> DataFrame:
     return df.withColumn("source_row_id", F.trim("source_row_id").try_cast("long"))
 
 
-def read_raw(spark: SparkSession, path: str, na: bool = True, multiline: bool = False) -> DataFrame:
+def read_raw(spark: SparkSession, path: str, na: bool = True, multiline: bool | None = None) -> DataFrame:
     """A raw inventory: a CSV file or a directory of them, all columns text but the row id.
 
-    Only ``*.csv`` files are read.  Without ``multiline`` the files are split over
-    tasks and a line break inside quotes is an error; with it a file is one
-    task.  ``na=False`` keeps all texts as they are and missing ones as ``""``.
+    Only ``*.csv`` files are read, split over tasks.  A line break inside quotes belongs to its value:
+    files with quotes are read by :func:`read_records`, in two passes.  ``multiline=False`` spares the first pass
+    and makes such a line break an error; with ``multiline=True`` a file is one task.
+    ``na=False`` keeps all texts as they are and missing ones as ``""``.
     """
-    names = spark.read.options(**csv_options(False)).csv(_csv_path(path)).columns
+    lines = lines_of(spark, _csv_path(path), CSV_FILES)
+    names = header_of(spark, path, CSV_FILES)
     missing = [c for c in RAW_COLUMNS if c not in names and c != "notes"]
     if missing:
         raise ValueError(f"columns missing in {path}: {missing}")
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
     if multiline:
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
         df = spark.read.options(**csv_options(True)).schema(schema).csv(path)
+    elif lines.where(F.col("value").contains('"')).isEmpty():
+        df = _plain_records(spark, path, names)
     else:
-        lines = spark.read.options(**checked_options()).schema(schema.add(CORRUPT, "string")).csv(path)
-        df = checked_lines(lines, len(names))
+        df = line_records(lines, names) if multiline is False else read_records(spark, path, CSV_FILES, names)
     if na:
         return typed_row_id(null_tokens(df))
     return df.fillna("", subset=names)
@@ -90,11 +86,9 @@ def _steps_json(text: Column) -> Column:
 
 
 def read_clean(spark: SparkSession, path: str) -> DataFrame:
-    """A clean inventory stored as CSV; unnamed index columns are dropped."""
-    options = csv_options(True) | {"enforceSchema": "true"}
-    df = spark.read.options(**options).csv(_csv_path(path))
-    index = [c for c in df.columns if c == "_c0" or c.startswith("Unnamed:")]
-    df = null_tokens(df.drop(*index))
+    """A clean inventory stored as CSV, split over tasks; unnamed index columns are dropped."""
+    names = header_of(spark, _csv_path(path), CSV_FILES)
+    df = null_tokens(read_records(spark, path, CSV_FILES, names).drop(*(c for c in names if c == "" or c.startswith("Unnamed:"))))
     steps = F.from_json(
         _steps_json(F.col("normalization_steps")),
         T.ArrayType(STEP),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +25,13 @@ def write_json(df: DataFrame, path: str) -> str:
     return path
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder, if there, from whatever store it lies in."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def csv_columns(df: DataFrame) -> DataFrame:
     """The table with nested columns as JSON text, which CSV can hold."""
     nested = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType))]

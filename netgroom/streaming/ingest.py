@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from netgroom.operators.anomalies import detect_anomalies
 from netgroom.operators.clean import clean_inventory
 from netgroom.operators.owners import correct_owner
-from netgroom.session import shared_dir, tune
-from netgroom.sources.readers import CORRUPT, checked_lines, checked_options, null_tokens, typed_row_id
+from netgroom.session import own_dir, tuned
+from netgroom.sources.readers import CSV_FILES, null_tokens, typed_row_id
+from netgroom.sources.records import line_records, placed
 from netgroom.sources.schema import RAW_COLUMNS
 from netgroom.sources.writers import write_json, write_stage
 
@@ -25,14 +25,12 @@ def raw_stream(
 ) -> DataFrame:
     """Raw rows of all ``*.csv`` files that are in the directory or arrive later.
 
-    Every file must have these ``columns``; lines are checked as in a batch.
+    Every file must have these ``columns``; a line break inside quotes is an error.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, CORRUPT]])
-    reader = spark.readStream.schema(schema).options(**checked_options())
+    reader = spark.readStream.option("lineSep", "\n").option("pathGlobFilter", CSV_FILES)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    lines = checked_lines(reader.csv(directory), len(columns))
-    return typed_row_id(null_tokens(lines))
+    return typed_row_id(null_tokens(line_records(placed(reader.text(directory)), list(columns))))
 
 
 def publish_stream(
@@ -45,13 +43,12 @@ def publish_stream(
 ) -> StreamingQuery:
     """Clean what is there now, publish it and stop.
 
-    ``checkpoint`` keeps the progress, by default below ``spark.checkpoint.dir``.
+    ``checkpoint`` keeps the progress, by default below ``spark.checkpoint.dir``, one for each ``out`` and date.
     Each batch writes its own directory and overwrites it when repeated, so
     every row is published exactly once.  All steps work row by row; findings
     across rows, such as shared MAC addresses, come from the published table.
     """
-    checkpoint = checkpoint or f"{shared_dir(raw.sparkSession)}/netgroom/stream"
-    tune(raw.sparkSession)
+    checkpoint = checkpoint or own_dir(raw.sparkSession, "stream", f"{out}/{run_date}")
     cleaned = correct(clean_inventory(raw))
 
     def publish(batch: DataFrame, number: int) -> None:
@@ -59,9 +56,11 @@ def publish_stream(
         written = batch.sparkSession.read.parquet(path)
         write_json(find(written), f"{out}/anomalies/run_date={run_date}/batch={number}")
 
-    return (
-        cleaned.writeStream.foreachBatch(publish)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    # the stream runs with the options that hold when it starts
+    with tuned(raw.sparkSession):
+        return (
+            cleaned.writeStream.foreachBatch(publish)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )

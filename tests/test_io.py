@@ -42,7 +42,7 @@ def raw_file(tmp_path):
     return _file(tmp_path / "raw.csv", HEADER + "".join(LINES))
 
 
-@pytest.mark.parametrize("multiline", [False, True])
+@pytest.mark.parametrize("multiline", [None, False, True])
 def test_read_raw(spark, raw_file, multiline):
     rows = read_raw(spark, raw_file, multiline=multiline).orderBy("source_row_id").collect()
     assert [r.source_row_id for r in rows] == [1, 2, 3, 4]
@@ -72,9 +72,10 @@ def test_bad_inputs(spark, tmp_path):
     with pytest.raises(ValueError, match="columns missing"):
         read_raw(spark, _file(tmp_path / "few.csv", "source_row_id,ip\n1,2\n"))
     broken = _file(tmp_path / "broken.csv", HEADER + '1,1.1.1.1,a,,,,,,"two\nlines"\n')
-    with pytest.raises(Exception, match="multiline=True"):
-        read_raw(spark, broken).select("ip").collect()
-    assert read_raw(spark, broken, multiline=True).first().notes == "two\nlines"
+    with pytest.raises(Exception, match="quoted line break"):
+        read_raw(spark, broken, multiline=False).select("ip").collect()
+    for multiline in (None, True):
+        assert read_raw(spark, broken, multiline=multiline).first().notes == "two\nlines"
     wide = _file(tmp_path / "wide.csv", HEADER + "1,1.1.1.1,a,,,,,,n,too,many\n")
     with pytest.raises(Exception, match="too many values"):
         read_raw(spark, wide).select("ip").collect()

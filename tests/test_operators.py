@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from netgroom.operators.anomalies import all_anomalies, detect_anomalies, duplicate_mac
 from netgroom.operators.clean import clean_inventory
@@ -21,7 +22,7 @@ from netgroom.operators.payload import (
     owner_reply_rows,
 )
 from netgroom.plans import fixture
-from netgroom.operators.skew import hot_keys, lookup
+from netgroom.operators.skew import salted_lookup
 
 RAW = "source_row_id long, ip string, hostname string, fqdn string, mac string, owner string, device_type string, site string"
 OWNED = "source_row_id long, owner string, owner_email string, owner_team string, note string"
@@ -139,18 +140,17 @@ def test_two_proposals_for_a_row_fail(spark):
     assert merge_owner(_owned(spark, [1]), low).first().owner == "a"
 
 
-@pytest.mark.parametrize("hot_rows", [0, 3, 100, 10**9])
-def test_hot_keys_change_nothing(spark, hot_rows):
+def test_hot_and_missing_keys_change_nothing(spark):
     ids = [1] * 500 + [2] * 80 + list(range(3, 200)) + [None] * 40
     proposals = spark.createDataFrame([(i, f"p{i}", None, None, 90.0) for i in range(2, 150)] + [(1, "hot", None, None, 75.0)], PROPOSED)
-    merged = merge_owner(_owned(spark, ids), proposals, hot_rows=hot_rows)
+    merged = merge_owner(_owned(spark, ids), proposals)
     counts = {r.owner: r["count"] for r in merged.groupBy("owner").count().collect()}
     expected = {"hot": 500, "p2": 80, "oNone": 40}
     expected |= {f"p{i}": 1 for i in range(3, 150)} | {f"o{i}": 1 for i in range(150, 200)}
     assert counts == expected
 
     macs = spark.createDataFrame([(i, f"m{i % 7 if i < 600 else i}") for i in range(700)] + [(900, None)], "source_row_id long, mac string")
-    found = sorted(map(tuple, duplicate_mac(macs, hot_rows=hot_rows).collect()))
+    found = sorted(map(tuple, duplicate_mac(macs).collect()))
     sizes = {m: len([i for i in range(600) if i % 7 == m]) for m in range(7)}
     last = {m: max(i for i in range(600) if i % 7 == m) for m in range(7)}
     assert found == [
@@ -158,19 +158,21 @@ def test_hot_keys_change_nothing(spark, hot_rows):
     ]
 
 
-def test_hot_rows_are_not_shuffled(spark):
-    rows = spark.range(0, 20000, 1, 4).selectExpr("id % 2 AS k", "id")
-    counted = rows.groupBy("k").agg({"*": "count"}).withColumnRenamed("count(1)", "n").withColumn("answer", counted_answer())
-    hot = hot_keys(counted, "k", 100)
-    joined = lookup(rows, counted, "k", hot, "inner")
-    assert joined.count() == 20000
-    assert hot_keys(counted, "k", 100, at_most=1).count() == 1
-
-
-def counted_answer():
-    from pyspark.sql import functions as F
-
-    return F.col("k") * 10
+def test_no_task_meets_a_hot_key(spark):
+    """One address on a third of the rows: its rows are dealt evenly over the tasks of the join."""
+    rows = spark.range(0, 60_000, 1, 4).selectExpr("id AS source_row_id", "if(id % 3 = 0, 'hot', concat('m', id div 6)) AS mac")
+    counted = rows.groupBy("mac").count().withColumnRenamed("count", "n").where("n > 1")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "50")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        met = salted_lookup(rows, counted, "mac").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(r["count"] for r in met) == 60_000 - 10_000 * 0
+    assert max(r["count"] for r in met) < 0.05 * 60_000
 
 
 def test_payloads_hold_every_row_once(spark, clean):
