@@ -13,15 +13,24 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from netgroom.llm.text import chunks
-from netgroom.session import SHARED_DIR, shared_dir
+from netgroom.session import shared_dir
+
+
+#: Folder of a session on one machine for which none is named.
+_own: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where none is named and the one machine runs all (as in tests)."""
-    if not spark.conf.get(SHARED_DIR, None) and spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster"):
-        if not spark.sparkContext.getConf().get(SHARED_DIR, None):
-            spark.conf.set(SHARED_DIR, tempfile.mkdtemp(prefix="shared-"))
-    return shared_dir(spark)
+    """The cluster's shared folder; a temporary one only where none is named and one machine runs all (as in tests)."""
+    try:
+        return shared_dir(spark)
+    except ValueError:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise
+    if not _own:
+        _own.append(tempfile.mkdtemp(prefix="shared-"))
+    return _own[0]
 
 
 def stored(df: DataFrame) -> DataFrame:
