@@ -6,6 +6,7 @@ text, this file splits the text and works on lists.
 
 from __future__ import annotations
 
+from netgroom.plans.features_sql import features_sql
 from netgroom.plans.fixture import INVENTORY_SQL, LITERALS_SQL, PROPOSALS_SQL
 
 _STRIP = r"regexp_replace({0}, '^[\s\x1c-\x1f\x0b]+|[\s\x1c-\x1f\x0b]+$', '', 'g')"
@@ -280,6 +281,10 @@ _TEXT_IPV4 = r"""cand AS (SELECT doc_id, CAST(generate_subscripts(found, 1) - 1
 
 
 def oracle_sql() -> dict[str, str]:
+    return _field_sql() | features_sql()
+
+
+def _field_sql() -> dict[str, str]:
     literals = f"WITH {_LITERALS}\n"
     return {
         "q_ip_clean": _field("ip", "ip_valid", "ip_reason"),

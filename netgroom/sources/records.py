@@ -24,9 +24,13 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+# These functions travel to the executors by value: tasks need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: What may stand in front of the text of a file.
 BOM = "\ufeff"
 #: States between characters: at the start of a value, within a plain one, within quotes, behind a quote within quotes.
