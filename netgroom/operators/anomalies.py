@@ -139,10 +139,10 @@ def duplicate_mac(clean: DataFrame) -> DataFrame:
     return with_other(salted_lookup(rows, groups.where("n > 1"), "mac"))
 
 
-def with_other(found: DataFrame) -> DataFrame:
+def with_other(found: DataFrame, *more: str) -> DataFrame:
     """Rows of shared addresses with their group (``n``, ``_first``, ``_last``) as findings: the group size and another row."""
     other = F.when(F.col("source_row_id") == F.col("_first"), F.col("_last")).otherwise(F.col("_first"))
-    return found.select("source_row_id", "mac", F.col("n").alias("devices"), other.alias("other_row_id"))
+    return found.select("source_row_id", "mac", F.col("n").alias("devices"), other.alias("other_row_id"), *more)
 
 
 def duplicate_mac_anomalies(clean: DataFrame) -> DataFrame:

@@ -7,14 +7,16 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from netgroom.operators.clean import clean_inventory
 from netgroom.operators.owners import merge_owner
 from netgroom.operators.payload import audit_anomaly_replies
 from netgroom.plans.derived import NOTED_SQL, REPEATED_SQL, REPLIES_SQL
-from netgroom.plans.fixture import proposals
+from netgroom.plans.fixture import inventory, proposals
 from netgroom.plans.registry import query
 from netgroom.session import scratch_dir
 from netgroom.sources.readers import read_raw
 from netgroom.sources.schema import OWNER_COLUMNS
+from netgroom.streaming.shared import shared_macs, watch_shared_macs
 
 
 def derived(spark: SparkSession, sf_dir: str, sql: str, **more: DataFrame) -> DataFrame:
@@ -55,3 +57,13 @@ def q_owner_merge_repeated(spark, sf_dir):
 def q_reply_audit(spark, sf_dir):
     """Replies of a model about anomalies, judged as a whole."""
     return audit_anomaly_replies(derived(spark, sf_dir, REPLIES_SQL)).drop("reply")
+
+
+@query
+def q_stream_duplicate_mac(spark, sf_dir):
+    """Shared addresses found by a stream over the inventory, three files in three batches."""
+    base = scratch(spark, "stream")
+    clean_inventory(inventory(spark, sf_dir)).select("source_row_id", "mac").repartition(3, "source_row_id").write.parquet(f"{base}/in")
+    given = spark.readStream.schema("source_row_id long, mac string").option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    watch_shared_macs(given, f"{base}/out", "2025-11-04", f"{base}/mark", partitions=4).awaitTermination()
+    return shared_macs(spark, f"{base}/out", "2025-11-04")
