@@ -7,10 +7,25 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from netgroom.functions.device import clean_device_type
 from netgroom.operators.clean import clean_inventory
+from netgroom.operators.entities import device_classes
+from netgroom.operators.history import as_of, extend_history, history, snapshot_diff
 from netgroom.operators.owners import merge_owner
 from netgroom.operators.payload import audit_anomaly_replies
-from netgroom.plans.derived import NOTED_SQL, REPEATED_SQL, REPLIES_SQL
+from netgroom.operators.prefixes import cidr_cover, longest_prefix
+from netgroom.operators.spelling import guess_device_type
+from netgroom.plans.derived import (
+    LOOKUPS_SQL,
+    MISSPELT_SQL,
+    NOTED_SQL,
+    PREFIXES_SQL,
+    REPEATED_SQL,
+    REPLIES_SQL,
+    SHARED_SQL,
+    SNAPSHOTS,
+    SNAPSHOTS_SQL,
+)
 from netgroom.plans.fixture import inventory, proposals
 from netgroom.plans.registry import query
 from netgroom.session import scratch_dir
@@ -67,3 +82,69 @@ def q_stream_duplicate_mac(spark, sf_dir):
     given = spark.readStream.schema("source_row_id long, mac string").option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
     watch_shared_macs(given, f"{base}/out", "2025-11-04", f"{base}/mark", partitions=4).awaitTermination()
     return shared_macs(spark, f"{base}/out", "2025-11-04")
+
+
+_TRACKED = ["owner", "site"]
+
+
+def _snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derived(spark, sf_dir, SNAPSHOTS_SQL)
+
+
+@query
+def q_history_diff(spark, sf_dir):
+    """What the third run changed against the second."""
+    old, new = (derived(spark, sf_dir, SNAPSHOTS[d]) for d in ("2025-11-02", "2025-11-03"))
+    found = snapshot_diff(old, new, "source_row_id", _TRACKED)
+    return found.withColumn("changed_fields", F.array_join("changed_fields", ","))
+
+
+@query
+def q_history_intervals(spark, sf_dir):
+    """When each device was in which state, over five runs."""
+    return history(_snapshots(spark, sf_dir), "source_row_id", _TRACKED)
+
+
+@query
+def q_history_extended(spark, sf_dir):
+    """The same from the first three runs' history, extended by two runs."""
+    rows = _snapshots(spark, sf_dir)
+    known = history(rows.where("run_date <= '2025-11-03'"), "source_row_id", _TRACKED)
+    for date in ("2025-11-04", "2025-11-05"):
+        known = extend_history(known, derived(spark, sf_dir, SNAPSHOTS[date]), date, "source_row_id", _TRACKED)
+    return known
+
+
+@query
+def q_history_asof(spark, sf_dir):
+    """The states that devices had at given dates."""
+    known = history(_snapshots(spark, sf_dir), "source_row_id", _TRACKED)
+    return as_of(known, derived(spark, sf_dir, LOOKUPS_SQL), "source_row_id", "asked_for")
+
+
+@query
+def q_device_classes(spark, sf_dir):
+    """Rows of one device, by shared addresses and names."""
+    return device_classes(derived(spark, sf_dir, SHARED_SQL))
+
+
+@query
+def q_longest_prefix(spark, sf_dir):
+    """The most special prefix of a list for each device's address."""
+    rows = clean_inventory(inventory(spark, sf_dir)).select("source_row_id", "ip")
+    return longest_prefix(rows, derived(spark, sf_dir, PREFIXES_SQL))
+
+
+@query
+def q_cidr_cover(spark, sf_dir):
+    """The fewest prefixes that hold just the inventory's addresses."""
+    return cidr_cover(clean_inventory(inventory(spark, sf_dir)).select("ip"))
+
+
+@query
+def q_device_spelling(spark, sf_dir):
+    """Types of misspelt names, by the nearest name of the list."""
+    fields = guess_device_type(clean_device_type(derived(spark, sf_dir, MISSPELT_SQL)))
+    return fields.select(
+        "source_row_id", F.col("device_type").alias("raw"), F.col("device_type_clean").alias("device_type"), "device_type_confidence", "device_type_reason"
+    )

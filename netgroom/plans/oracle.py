@@ -283,7 +283,7 @@ _TEXT_IPV4 = r"""cand AS (SELECT doc_id, CAST(generate_subscripts(found, 1) - 1
 def oracle_sql() -> dict[str, str]:
     fields = _field_sql()
     # the stream finds what the batch finds
-    return fields | features_sql() | {"q_stream_duplicate_mac": fields["q_duplicate_mac"]}
+    return fields | features_sql(_BASE, _DEVICE) | {"q_stream_duplicate_mac": fields["q_duplicate_mac"]}
 
 
 def _field_sql() -> dict[str, str]:

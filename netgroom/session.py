@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import tempfile
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SHARED_DIR = "spark.checkpoint.dir"
 
@@ -75,3 +76,11 @@ def scratch_dir(spark: SparkSession) -> str:
         except ValueError:
             return tempfile.mkdtemp(prefix="netgroom-")
     return shared_dir(spark)
+
+
+def stored(df: DataFrame, name: str = "stored") -> DataFrame:
+    """A table written to the shared folder and read back: cut off from its plan, and no lost executor undoes it."""
+    spark = df.sparkSession
+    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
