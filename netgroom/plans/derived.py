@@ -99,3 +99,14 @@ SELECT o_orderkey AS source_row_id, CASE o_orderkey % 16
     WHEN 12 THEN 'switch' WHEN 13 THEN 'rooter' WHEN 14 THEN 'zzzz' ELSE 'thing' || CAST(o_custkey % 50 AS STRING) END AS device_type
 FROM orders
 """
+
+# Devices whose team mostly follows from site, type and network; some teams are missing.
+TEAMS_SQL = """
+SELECT o_orderkey AS source_row_id, CASE WHEN o_orderkey % 4 = 1 THEN NULL ELSE 'team' || CAST(base AS STRING) END AS owner_team,
+  CASE WHEN o_orderkey % 3 = 0 THEN 'own' || CAST(o_custkey % 9 AS STRING) END AS owner, CAST(NULL AS STRING) AS owner_email,
+  CASE WHEN o_orderkey % 20 < 16 THEN 'site' || CAST(base AS STRING) WHEN o_orderkey % 20 = 19 THEN 'unknown' ELSE 'site' || CAST(o_orderkey % 7 AS STRING) END AS site_normalized,
+  CASE WHEN o_orderkey % 8 = 5 THEN 'unknown' ELSE 'type' || CAST((base * 2 + o_orderkey % 3) % 5 AS STRING) END AS device_type,
+  CASE WHEN o_orderkey % 6 = 2 THEN '' ELSE '10.' || CAST(base + CASE WHEN o_orderkey % 11 = 0 THEN 1 ELSE 0 END AS STRING) || '.0.0/16' END AS subnet_cidr,
+  CASE WHEN o_orderkey % 5 = 3 THEN NULL ELSE CASE WHEN o_orderkey % 13 = 0 THEN 'x' WHEN base % 2 = 0 THEN 'edge' ELSE 'core' END || CAST(o_orderkey AS STRING) END AS hostname
+FROM (SELECT o_orderkey, o_custkey, o_custkey % 7 AS base FROM orders) t
+"""

@@ -11,6 +11,8 @@ from netgroom.functions.device import clean_device_type
 from netgroom.operators.clean import clean_inventory
 from netgroom.operators.entities import device_classes
 from netgroom.operators.history import as_of, extend_history, history, snapshot_diff
+from netgroom.operators.learned import learn_owner
+from netgroom.operators.mined import dependency_violations, mine_dependencies
 from netgroom.operators.owners import merge_owner
 from netgroom.operators.payload import audit_anomaly_replies
 from netgroom.operators.prefixes import cidr_cover, longest_prefix
@@ -25,6 +27,7 @@ from netgroom.plans.derived import (
     SHARED_SQL,
     SNAPSHOTS,
     SNAPSHOTS_SQL,
+    TEAMS_SQL,
 )
 from netgroom.plans.fixture import inventory, proposals
 from netgroom.plans.registry import query
@@ -148,3 +151,22 @@ def q_device_spelling(spark, sf_dir):
     return fields.select(
         "source_row_id", F.col("device_type").alias("raw"), F.col("device_type_clean").alias("device_type"), "device_type_confidence", "device_type_reason"
     )
+
+
+@query
+def q_owner_learned(spark, sf_dir):
+    """Teams proposed for the rows without one, from what the others show."""
+    return learn_owner(derived(spark, sf_dir, TEAMS_SQL))
+
+
+@query
+def q_mined_dependencies(spark, sf_dir):
+    """How far fields follow from each other."""
+    return mine_dependencies(derived(spark, sf_dir, TEAMS_SQL))
+
+
+@query
+def q_mined_anomalies(spark, sf_dir):
+    """Rows that break what nearly all rows with the same value show."""
+    found = dependency_violations(derived(spark, sf_dir, TEAMS_SQL), agree=0.7)
+    return found.withColumn("affected_fields", F.array_join("affected_fields", ","))

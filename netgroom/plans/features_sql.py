@@ -13,6 +13,7 @@ from netgroom.plans.derived import (
     SHARED_SQL,
     SNAPSHOTS,
     SNAPSHOTS_SQL,
+    TEAMS_SQL,
 )
 from netgroom.plans.fixture import PROPOSALS_SQL
 
@@ -119,6 +120,39 @@ SELECT source_row_id, device_type AS raw, coalesce(type, device_type_clean) AS d
 FROM fields LEFT JOIN near USING (source_row_id)"""
 
 
+_PREFIX_OF_HOST = "regexp_extract(hostname, '^[a-z]+')"
+_EVIDENCE = {"site_normalized": "site_normalized", "device_type": "device_type", "subnet_cidr": "subnet_cidr", "host": _PREFIX_OF_HOST}
+
+_LEARNED = f"""
+WITH d AS ({TEAMS_SQL}),
+says AS ({" UNION ALL ".join(f"SELECT source_row_id, owner_team, '{n}=' || {e} AS value FROM d WHERE coalesce({e}, '') NOT IN ('', 'unknown')" for n, e in _EVIDENCE.items())}),
+teams AS (SELECT owner_team AS team, count(*) / (SELECT count(*) FROM d WHERE owner_team IS NOT NULL AND source_row_id % 5 <> 0) AS share
+  FROM d WHERE owner_team IS NOT NULL AND source_row_id % 5 <> 0 GROUP BY ALL),
+weights AS (SELECT value, team, ln((count(*) + 2.0::DOUBLE * any_value(share)) / (2.0::DOUBLE * any_value(share))) AS weight
+  FROM says JOIN teams ON team = owner_team WHERE source_row_id % 5 <> 0 GROUP BY ALL),
+scores AS (SELECT source_row_id, team, round(sum(weight) + ln(any_value(share)), 6) AS score FROM says JOIN weights USING (value) JOIN teams USING (team)
+  WHERE owner_team IS NULL OR source_row_id % 5 = 0 GROUP BY ALL),
+best AS (SELECT source_row_id, team, least(CAST(floor(round(coalesce(score - lead(score) OVER w, 10), 6)) AS BIGINT), 9) AS step FROM scores
+  WINDOW w AS (PARTITION BY source_row_id ORDER BY score DESC, team) QUALIFY row_number() OVER w = 1),
+steps AS (SELECT step, (count(*) FILTER (team = owner_team) + 1) * 100 // (count(*) + 2) AS confidence
+  FROM best JOIN d USING (source_row_id) WHERE owner_team IS NOT NULL GROUP BY ALL)
+SELECT source_row_id, owner, team AS owner_team, owner_email, CAST(coalesce(confidence, 50) AS DOUBLE) AS confidence_percentage
+FROM best JOIN d USING (source_row_id) LEFT JOIN steps USING (step) WHERE d.owner_team IS NULL"""
+
+_RULES = [
+    ("site_normalized", "subnet_cidr", "site_normalized", "subnet_cidr", "subnet_cidr"),
+    ("subnet_cidr", "site_normalized", "subnet_cidr", "site_normalized", "site_normalized"),
+    ("regexp_extract(hostname, ''^[a-z]+'', 0)", "device_type", _PREFIX_OF_HOST, "device_type", "device_type"),
+]
+_MINED = f"""
+WITH d AS ({TEAMS_SQL}),
+sides AS (SELECT * FROM ({" UNION ALL ".join(f"SELECT source_row_id, '{g} -> {t}' AS rule, '{f}' AS field, {x} AS given, {y} AS then_ FROM d" for g, t, x, y, f in _RULES)})
+  WHERE coalesce(given, '') NOT IN ('', 'unknown') AND coalesce(then_, '') NOT IN ('', 'unknown')),
+usual AS (SELECT rule, given, then_ AS usual, c AS agree, n FROM (SELECT rule, given, then_, count(*) AS c, sum(count(*)) OVER (PARTITION BY rule, given) AS n
+    FROM sides GROUP BY rule, given, then_)
+  WHERE n >= 5 QUALIFY row_number() OVER (PARTITION BY rule, given ORDER BY c DESC, then_) = 1)"""
+
+
 def features_sql(base: str, device: str) -> dict[str, str]:
     """``base`` names the tables of the cleaned inventory, ``device`` derives a device's type."""
     return {
@@ -133,4 +167,12 @@ def features_sql(base: str, device: str) -> dict[str, str]:
         "q_longest_prefix": f"WITH {base}, {_LONGEST}",
         "q_cidr_cover": f"WITH {base}, {_COVER}",
         "q_device_spelling": _spelling(device),
+        "q_owner_learned": _LEARNED,
+        "q_mined_dependencies": f"""{_MINED}
+SELECT rule, count(*) AS "values", CAST(sum(n) AS BIGINT) AS rows, CAST(sum(agree) AS BIGINT) AS kept, CAST(sum(n) - sum(agree) AS BIGINT) AS violations,
+  CAST(sum(agree) * 100 // sum(n) AS BIGINT) AS confidence FROM usual GROUP BY rule""",
+        "q_mined_anomalies": f"""{_MINED}
+SELECT source_row_id, field AS affected_fields, field || ' is ' || then_ || ' where ' || agree || ' of ' || n || ' rows with ' || given || ' have ' || usual AS issue_type,
+  'modify' AS recommended_action, CAST(agree * 100 // n AS BIGINT) AS anomaly_confidence
+FROM sides JOIN usual USING (rule, given) WHERE then_ <> usual AND agree >= 0.7 * n""",
     }

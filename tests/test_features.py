@@ -216,3 +216,67 @@ def test_deletions_and_guesses(spark):
         5: ("unknown", 0, "no_match"), 6: ("unknown", 0, "empty_string"), 7: ("switch", 90, "fuzzy_match"),
     }
     assert guess_device_type(fields).columns == fields.columns
+
+
+def test_rules_that_the_table_shows(spark):
+    from netgroom.operators.mined import Dependency, dependency_violations, mine_dependencies
+
+    rows = [(k, "a", "x" if k else "y") for k in range(20)] + [(100 + k, "b", "z") for k in range(4)] + [(200 + k, "c", "x" if k % 2 else "y") for k in range(10)]
+    rows += [(300, None, "x"), (301, "a", None), (302, "a", ""), (303, "unknown", "x")]
+    frame = spark.createDataFrame(rows, "source_row_id long, g string, t string")
+    rule = [Dependency("g", "t", "t")]
+    assert [tuple(r) for r in mine_dependencies(frame, rule).collect()] == [("g -> t", 2, 30, 24, 6, 80)]
+    found = dependency_violations(frame, rule).collect()
+    assert [(r.source_row_id, r.affected_fields, r.recommended_action, r.anomaly_confidence) for r in found] == [(0, ["t"], "modify", 95)]
+    assert found[0].issue_type == "t is y where 19 of 20 rows with a have x"
+    hot = spark.range(5000).selectExpr("id AS source_row_id", "'h' AS g", "if(id = 7, 'odd', 'even') AS t")
+    assert [r.source_row_id for r in dependency_violations(hot, rule).collect()] == [7]
+    assert mine_dependencies(frame.where("false"), rule).count() == 0 and dependency_violations(frame.where("false"), rule).count() == 0
+
+
+def test_teams_learned_from_known_rows(spark):
+    import math
+
+    from netgroom.operators.learned import HELD_OUT, STEPS, WEIGHT, learn_owner
+
+    rng = random.Random(7)
+    rows = []
+    for k in range(600):
+        t = rng.randrange(4)
+        team = f"t{t}" if rng.random() < 0.8 else None
+        rows.append((k, team, None, None, f"s{t}" if rng.random() < 0.8 else rng.choice(["s0", "s1", "unknown", None]), rng.choice([f"d{t % 2}", "d9"]), "", f"h{'abcd'[t]}{k}" if rng.random() < 0.5 else None))
+    schema = "source_row_id long, owner_team string, owner string, owner_email string, site_normalized string, device_type string, subnet_cidr string, hostname string"
+    got = {r.source_row_id: (r.owner_team, r.confidence_percentage) for r in learn_owner(spark.createDataFrame(rows, schema)).collect()}
+
+    def values(r):
+        host = "".join(c for c in (r[7] or "") if c.isalpha())
+        return [(n, v) for n, v in enumerate((r[4], r[5], r[6], host)) if v and v != "unknown"]
+
+    train = [r for r in rows if r[1] and r[0] % HELD_OUT]
+    share = {t: n / len(train) for t, n in Counter(r[1] for r in train).items()}
+    beside = Counter((v, r[1]) for r in train for v in values(r))
+
+    def best(r):
+        score = defaultdict(float)
+        for v in values(r):
+            for t in share:
+                if beside[v, t]:
+                    score[t] += math.log((beside[v, t] + WEIGHT * share[t]) / (WEIGHT * share[t]))
+        ranked = sorted((-round(s + math.log(share[t]), 6), t) for t, s in score.items())
+        if not ranked:
+            return None
+        return ranked[0][1], min(int(round(ranked[1][0] - ranked[0][0] if len(ranked) > 1 else STEPS, 6)), STEPS - 1)
+
+    steps = defaultdict(lambda: [0, 0])
+    for r in rows:
+        if r[1] and r[0] % HELD_OUT == 0 and best(r):
+            t, step = best(r)
+            steps[step][0] += 1
+            steps[step][1] += t == r[1]
+    want = {}
+    for r in rows:
+        if r[1] is None and best(r):
+            t, step = best(r)
+            n, right = steps.get(step, (0, 0))
+            want[r[0]] = (t, float((right + 1) * 100 // (n + 2)))
+    assert got == want and len({c for _, c in got.values()}) > 1
