@@ -28,6 +28,24 @@ def salted_lookup(rows: DataFrame, table: DataFrame, key: str, n: str = "n") ->
     return dealt.withColumn("_salt", salt).join(copies, [key, "_salt"]).select(*rows.columns, *answers)
 
 
+def salted_left_lookup(rows: DataFrame, table: DataFrame, key: str, n: str = "n") -> DataFrame:
+    """:func:`salted_lookup` that keeps the rows without a key, with no answer.
+
+    ``table`` has every key of ``rows``.  Rows without a key get a place of their own, dealt over many
+    tasks, so ``rows`` is read once.
+    """
+    answers = [c for c in table.columns if c != key]
+    spark = rows.sparkSession
+    salts = f"int(ceil({n} * {HOT_PART} / (SELECT sum({n}) FROM {{counted}})))"
+    counted = spark.sql(f"SELECT *, {salts} AS _salts FROM {{counted}}", counted=table.where(F.col(key).isNotNull()))
+    hot = counted.where("_salts > 1").select(key, F.col("_salts").alias("_hot"))
+    dealt = rows.join(F.broadcast(hot), key, "left")
+    place = F.pmod(F.xxhash64(*rows.columns), F.coalesce("_hot", F.lit(HOT_PART).cast("long")))
+    salt = F.when(F.col("_hot").isNotNull(), place).when(F.col(key).isNull(), -1 - place).otherwise(F.lit(0)).cast("int")
+    copies = counted.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.greatest(F.col("_salts"), F.lit(1)) - 1)))
+    return dealt.withColumn("_salt", salt).join(copies, [key, "_salt"], "left").select(*rows.columns, *answers)
+
+
 def left_lookup(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
     """Left join of ``rows`` with ``table``, which has one row for each key.
 

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from netgroom.functions.device import EXACT
-from netgroom.operators.skew import salted_lookup
+from netgroom.operators.skew import salted_left_lookup
+from netgroom.session import stored
 
 #: Edits that are followed, and the least length of a text for each number of them.
 EDITS, LEAST = 2, {1: 4, 2: 6}
@@ -61,11 +62,12 @@ def guess_device_type(fields: DataFrame, names: dict[str, str] | None = None) ->
     names = EXACT if names is None else names
     text = F.lower(F.trim("device_type"))
     rows = fields.withColumn("_text", F.when(F.col("device_type_reason") == "no_match", text))
-    counted = rows.where("_text IS NOT NULL").groupBy("_text").agg(F.count(F.lit(1)).alias("n"))
+    # stored before it is filtered: a filter would go below the cleaning with all of its patterns
+    counted = stored(rows.groupBy("_text").agg(F.count(F.lit(1)).alias("n")), "texts").where("_text IS NOT NULL")
     best = nearest_names(counted, list(names), "_text")
     kind = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
-    found = counted.join(best, "_text", "left").withColumn("_type", kind[F.col("name")])
-    told = salted_lookup(rows, found, "_text").unionByName(rows.where("_text IS NULL"), allowMissingColumns=True)
+    found = stored(counted.join(best, "_text", "left").withColumn("_type", kind[F.col("name")]), "texts")
+    told = salted_left_lookup(rows, found, "_text")
     guessed = F.col("_type").isNotNull()
     return told.withColumns(
         {
