@@ -23,7 +23,7 @@ EARLIER = 8
 #: 64-bit words of the parity bitmap of a set.
 PARITY_WORDS = 8
 #: Rounds that link by a few centres before the remaining pairs are enumerated.
-STAR_ROUNDS = 2
+STAR_ROUNDS = 6
 
 
 def shingle_sets(column: pa.Array, size: int) -> list[np.ndarray]:
@@ -238,7 +238,10 @@ def jaccard_classes(
             pairs = pairs.join(done, ["a", "b"], "left_anti")
         pairs = stored(pairs)
         done = pairs if done is None else done.unionByName(pairs)
-        classes = _merged(classes, _verified(pairs, chosen, size, percent))
+        links = stored(_verified(pairs, chosen, size, percent))
+        if links.isEmpty():
+            break
+        classes = _merged(classes, links)
     now = entries.join(classes.withColumnRenamed("node", "id"), "id")
     mixed = now.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("gram")
     bitmaps = reps.select(F.col("rep").alias("id"), "bits")
