@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from netgroom.functions.stages import Stages, add_fields
 from netgroom.functions.text import count_char, strip_column
 
-# In Python "$" also matches before a final line feed, and so it does here with (?d).
+# The patterns of labels. In Python "$" also matches before a final line feed, and so it does here with (?d).
 HOST_LABEL = r"(?d)^[a-zA-Z0-9]([a-zA-Z0-9-]*[a-zA-Z0-9])?$"
 DOMAIN_CHARS = r"(?d)^[a-zA-Z0-9-]+$"
 
