@@ -95,7 +95,7 @@ class Reader:
 
     @staticmethod
     def phrases(walk: list[int], data: bytes) -> int:
-        """Number of greedy longest matches that make up ``data``."""
+        """Number of greedy longest matches that make up ``data``; a byte that the sample never has begins one with what follows it."""
         state, n = 0, 1
         for c in data:
             state = walk[state + c]
