@@ -39,11 +39,11 @@ SELECT id AS source_row_id,
     WHEN 4 THEN '-edge' || CAST(a AS STRING)
     WHEN 5 THEN 'bad_host' || CAST(a AS STRING)
     WHEN 6 THEN LPAD(CAST(id AS STRING), 70, 'h')
-    ELSE 'srv-' || CAST(id % 1000 AS STRING)
+    ELSE 'box-' || CAST(id % 1000 AS STRING)
   END AS hostname,
   CASE id % 13
-    WHEN 0 THEN 'srv-' || CAST(id % 1000 AS STRING) || '.hq'
-    WHEN 1 THEN 'SRV-' || CAST(id % 1000 AS STRING) || '.HQ.'
+    WHEN 0 THEN 'box-' || CAST(id % 1000 AS STRING) || '.pier'
+    WHEN 1 THEN 'BOX-' || CAST(id % 1000 AS STRING) || '.PIER.'
     WHEN 2 THEN 'nolabel'
     WHEN 3 THEN 'a..local'
     WHEN 4 THEN '-a.local'
@@ -52,7 +52,7 @@ SELECT id AS source_row_id,
     WHEN 7 THEN 'a.' || LPAD('x', 64, 'x')
     WHEN 8 THEN '  '
     WHEN 9 THEN REPEAT('abcdefgh.', 30) || 'com'
-    WHEN 10 THEN 'host-02.local'
+    WHEN 10 THEN 'box-02.local'
     ELSE NULL
   END AS fqdn,
   CASE id % 7
@@ -65,11 +65,11 @@ SELECT id AS source_row_id,
     ELSE NULL
   END AS mac,
   CASE id % 9
-    WHEN 0 THEN 'Priya (platform) priya' || CAST(a AS STRING) || '@corp.example.com'
+    WHEN 0 THEN 'Zofia (platform) zofia' || CAST(a AS STRING) || '@mail.fjord.example'
     WHEN 1 THEN 'ops'
-    WHEN 2 THEN 'jane' || CAST(b AS STRING) || '@corp.example.com'
+    WHEN 2 THEN 'mette' || CAST(b AS STRING) || '@mail.fjord.example'
     WHEN 3 THEN 'Facilities'
-    WHEN 4 THEN 'Li ( Net Ops ) Wei'
+    WHEN 4 THEN 'Ola ( Net Ops ) Dahl'
     WHEN 5 THEN '()'
     WHEN 6 THEN '  '
     WHEN 7 THEN 'a@x.io Bob b@y.io (A) (B)'
@@ -84,8 +84,8 @@ SELECT id AS source_row_id,
     WHEN 20 THEN '  ' WHEN 21 THEN ',' ELSE NULL
   END AS device_type,
   CASE id % 10
-    WHEN 0 THEN 'BLR Campus' WHEN 1 THEN 'HQ Bldg 1' WHEN 2 THEN 'HQ-BUILDING-1' WHEN 3 THEN 'HQ'
-    WHEN 4 THEN ' Lab-1 ' WHEN 5 THEN ' N/A ' WHEN 6 THEN 'DC__1,, east' WHEN 7 THEN '---'
+    WHEN 0 THEN 'OSLO Quay' WHEN 1 THEN 'Pier Bldg 7' WHEN 2 THEN 'PIER-BUILDING-7' WHEN 3 THEN 'Pier'
+    WHEN 4 THEN ' Shed-4 ' WHEN 5 THEN ' N/A ' WHEN 6 THEN 'DC__1,, east' WHEN 7 THEN '---'
     WHEN 8 THEN '  ' ELSE NULL
   END AS site
 FROM (SELECT o_orderkey AS id, o_custkey % 256 AS a, o_orderkey % 251 AS b FROM orders) t
