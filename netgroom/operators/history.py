@@ -14,9 +14,6 @@ from pyspark.sql import functions as F
 
 from netgroom.operators.skew import left_lookup
 
-#: Columns of a history beside key and state: copies, first run, first run without, number of runs.
-SPAN = ["copies", "valid_from", "valid_to", "runs"]
-
 
 def snapshot_diff(old: DataFrame, new: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """(key, change, changed_fields, rows_old, rows_new) of every key whose rows are not the same in both.
@@ -90,8 +87,9 @@ def extend_history(known: DataFrame, snapshot: DataFrame, run_date: str | Column
     return known.where("valid_to IS NOT NULL").select(*now.columns).unionByName(now)
 
 
-def valid_at(at: Column) -> Column:
-    return (F.col("valid_from") <= at) & (F.col("valid_to").isNull() | (at < F.col("valid_to")))
+def snapshot_at(known: DataFrame, date: str) -> DataFrame:
+    """The states that held at a date, of all keys."""
+    return known.where((F.col("valid_from") <= date) & (F.col("valid_to").isNull() | (F.col("valid_to") > date)))
 
 
 def as_of(known: DataFrame, lookups: DataFrame, key: str, at: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from netgroom.functions.device import EXACT, clean_device_type
 from netgroom.operators.entities import device_classes
-from netgroom.operators.history import as_of, extend_history, history, snapshot_diff
+from netgroom.operators.history import as_of, extend_history, history, snapshot_at, snapshot_diff
 from netgroom.operators.prefixes import cidr_cover, longest_prefix
 from netgroom.operators.spelling import deletions, guess_device_type, nearest_names
 
@@ -57,6 +57,8 @@ def test_history_and_its_extension(spark, seed):
     for date in dates[3:]:
         known = extend_history(known, frame.where(F.col("run_date") == date), date, "id", ["owner", "site"])
     assert shape(known) == want
+    shown = snapshot_at(known, "d4").select("id", "owner", "site", "copies").collect()
+    assert Counter(map(tuple, shown)) == Counter((*state, n) for state, n in Counter(r[1:] for r in rows if r[0] == "d4").items())
     lookups = [(k, rng.choice([None, 1, 2, 3, 99]), f"d{rng.randrange(8)}") for k in range(80)]
     got = as_of(known, spark.createDataFrame(lookups, "k long, id long, at string"), "id", "at").select("k", "owner", "site", "copies")
     held = Counter()
