@@ -23,7 +23,7 @@ EARLIER = 8
 #: 64-bit words of the parity bitmap of a set.
 PARITY_WORDS = 8
 #: Rounds that link by a few centres before the remaining pairs are enumerated.
-STAR_ROUNDS = 6
+STAR_ROUNDS = 4
 
 
 def shingle_sets(column: pa.Array, size: int) -> list[np.ndarray]:
