@@ -60,7 +60,9 @@ def q_csv_quoted_breaks(spark, sf_dir):
     noted.write.options(**options).csv(path)
     back = read_raw(spark, f"{path}/", na=False)
     read = [F.length("notes").cast("long").alias("n_chars"), F.md5(F.col("notes").cast("binary")).alias("notes_md5")]
-    return back.select(F.col("source_row_id").cast("long").alias("source_row_id"), "ip", "hostname", "mac", "owner", "device_type", "site", *read)
+    # a document without an id has no address and no name either
+    row_id, ip, hostname = (F.nullif(F.col(c), F.lit("")).alias(c) for c in ("source_row_id", "ip", "hostname"))
+    return back.select(row_id.cast("long").alias("source_row_id"), ip, hostname, "mac", "owner", "device_type", "site", *read)
 
 
 @query

@@ -54,6 +54,21 @@ def tuned(spark: SparkSession) -> Iterator[SparkSession]:
         spark.conf.set(_HUGE, before)
 
 
+def as_now(spark: SparkSession) -> SparkSession:
+    """A session with the present options of ``spark`` that later changes do not reach.
+
+    Files read through it are split alike each time, also when the options change or more executors come.
+    """
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    cores = spark.conf.get("spark.sql.leafNodeDefaultParallelism", None) or spark.sparkContext.defaultParallelism
+    least = "spark.sql.files.minPartitionNum"
+    own.conf.set(least, spark.conf.get(least, None) or str(cores))
+    return own
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder shared by all executors that the cluster names for intermediate tables."""
     folder = spark.conf.get(SHARED_DIR, None) or spark.sparkContext.getConf().get(SHARED_DIR, None)

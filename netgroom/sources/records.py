@@ -28,6 +28,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from netgroom.session import as_now
+
 # These functions travel to the executors by value: tasks need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -171,8 +173,14 @@ class _Split:
 WHOLE, ENDS, MIDDLE, BEGINS = range(4)
 
 
-def _second(lines: DataFrame, inside: set[tuple[str, int]], names: list[str], dialect: Dialect, strict: bool = False) -> DataFrame:
-    """(kind, file, start, values, text) of the second pass; the header of each file is checked and left out."""
+def _second(
+    lines: DataFrame, inside: dict[tuple[str, int], bool] | None, names: list[str], dialect: Dialect, strict: bool = False, parts_of: set[str] | None = None
+) -> DataFrame:
+    """(kind, file, start, values, text) of the second pass; the header of each file is checked and left out.
+
+    ``inside`` has every split of the first pass (None: there was none, every split begins between records).  ``parts_of``
+    names files of which only the parts of records are wanted.
+    """
     schema = "kind int, file string, start long, values array<string>, text string"
     fields = [pa.int32(), pa.string(), pa.int64(), pa.list_(pa.string()), pa.string()]
 
@@ -195,16 +203,22 @@ def _second(lines: DataFrame, inside: set[tuple[str, int]], names: list[str], di
         key, split, header = None, None, False
         for batch in batches:
             for file, start, values in _runs(batch):
+                if parts_of is not None and file not in parts_of:
+                    continue
                 if (file, start) != key:
                     if split is not None:
                         yield table(left(key, split, header))
-                    key, split, header = (file, start), _Split((file, start) in inside, dialect, strict), start == 0
+                    if inside is not None and (file, start) not in inside:
+                        raise ValueError(f"the split of {file} at {start} is none of the first pass")
+                    key, split, header = (file, start), _Split(inside is not None and inside[file, start], dialect, strict), start == 0
                 rows = []
                 for record in split.feed(values):
                     if header:
                         header = False
                         check_header(record, names, file)
                         continue
+                    if parts_of is not None:
+                        break
                     rows.append((WHOLE, *key, check_width(record, len(names)), None))
                 yield table(rows)
         if split is not None:
@@ -263,18 +277,20 @@ def read_records(spark: SparkSession, path: str, glob: str, names: list[str], di
 
     Every file has the header ``names``.  Files are split over tasks and read twice.  A record with
     more values is an error, a blank line is none, an empty file or one with a header alone has no
-    records; quotes that are open at the end of a file end there.  The list of splits that begin inside quotes is collected: it is at most as long as
-    the list of splits that the driver plans anyway.
+    records; quotes that are open at the end of a file end there.  The list of splits with their states is collected: it is as long as
+    the list of splits that the driver plans anyway.  All passes read the same splits: they depend on the options and cores
+    at hand and on the files listed, so options are kept as they are now, and no pass leaves out a file.
     """
-    lines = lines_of(spark, path, glob)
-    states = split_states(lines, dialect).where("inside = 1").select("file", "start").collect()
-    inside = {(r.file, r.start) for r in states}
+    kept = lines_of(as_now(spark), path, glob)
+    none = spark.sql("SELECT '' AS value, '' AS file, 0L AS start WHERE false")
+    lines = none.unionByName(kept)
+    inside = {(r.file, r.start): r.inside == 1 for r in split_states(lines, dialect).collect()}
     rows = _second(lines, inside, names, dialect)
     whole = rows.where(F.col("kind") == WHOLE).select("values")
-    if inside:
-        # only files in which a record crosses a split are read once more for its parts
-        crossed = lines.where(F.col("file").isin(sorted({f for f, _ in inside})))
-        parts = _second(crossed, inside, names, dialect).where(F.col("kind") != WHOLE)
+    crossed = {file for (file, _), within in inside.items() if within}
+    if crossed:
+        # files in which a record crosses a split are gone through once more for its parts
+        parts = _second(lines, inside, names, dialect, parts_of=crossed).where(F.col("kind") != WHOLE)
         whole = whole.unionByName(_stitched(parts, names, dialect))
     return _columns(whole, names)
 
@@ -284,7 +300,7 @@ def line_records(lines: DataFrame, names: list[str], dialect: Dialect = Dialect(
 
     A line break inside quotes is an error.
     """
-    return _columns(_second(lines, set(), names, dialect, strict=True).where(F.col("kind") == WHOLE), names)
+    return _columns(_second(lines, None, names, dialect, strict=True).where(F.col("kind") == WHOLE), names)
 
 
 def _columns(rows: DataFrame, names: list[str]) -> DataFrame:

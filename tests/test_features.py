@@ -12,6 +12,7 @@ from netgroom.operators.entities import device_classes
 from netgroom.operators.history import as_of, extend_history, history, snapshot_at, snapshot_diff
 from netgroom.operators.prefixes import cidr_cover, longest_prefix
 from netgroom.operators.spelling import deletions, guess_device_type, nearest_names
+from netgroom.plans import features
 
 STATE = "run_date string, id long, owner string, site string"
 
@@ -282,3 +283,12 @@ def test_teams_learned_from_known_rows(spark):
             n, right = steps.get(step, (0, 0))
             want[r[0]] = (t, float((right + 1) * 100 // (n + 2)))
     assert got == want and len({c for _, c in got.values()}) > 1
+
+
+def test_csv_of_documents_without_ids(spark, tmp_path):
+    """Rows without an id come back from the CSV file without one, as in the SQL."""
+    rows = [(None, "a\nb", "en", None), (None, None, None, "web"), (3, 'x "y",\n', "de", "")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = features.q_csv_quoted_breaks(spark, str(tmp_path)).select("source_row_id", "ip", "hostname", "mac", "owner", "site", "n_chars").collect()
+    want = [(None, None, None, "", "", "web", 0), (None, None, None, "", "en", "", 3), (3, "10.0.3.7", "doc-3", "", "de", "", 7)]
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)

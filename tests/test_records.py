@@ -109,3 +109,26 @@ def test_lone_quotes_and_breaks_of_an_inventory(spark, tmp_path):
     (tmp_path / "a.csv").write_text(head + '2,"a",b,c,d,e,f,g,h,too,"many"\n')
     with pytest.raises(Exception, match="too many values"):
         read_raw(spark, str(tmp_path)).collect()
+
+
+def test_splits_stay_the_same_where_few_files_hold_the_breaks(spark, tmp_path):
+    """Splits follow from the sizes of all files: the passes must not see different ones."""
+    options = {SPLIT: "1m", "spark.sql.files.openCostInBytes": "1"}
+    before = {k: spark.conf.get(k) for k in options}
+    names, want = ["a", "b"], []
+    for f in range(6):
+        text = "".join(f'{f * 1000 + k},"{"broken" + (chr(10) + "x") * 40 if f == 1 else "plain"} ""{k}"",{"y" * (k % 3)}"\n' for k in range(400))
+        (tmp_path / f"{f}.csv").write_text("a,b\n" + text)
+        want += plain("a,b\n" + text, 2)
+    try:
+        for k, v in options.items():
+            spark.conf.set(k, v)
+        got = read_records(spark, str(tmp_path), "*.csv", names)
+        assert sorted(map(tuple, got.collect())) == sorted(want)
+        # nor does a table read later, with other options, see other ones
+        spark.conf.set(SPLIT, "700")
+        assert sorted(map(tuple, got.collect())) == sorted(want)
+        assert got.sparkSession is spark
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
