@@ -2,7 +2,10 @@
 
 A snapshot is the table of one run.  Rows are told apart by a key and compared by the other
 columns, nulls being equal.  A key may stand on several rows: equal ones are one state with a number
-of copies, and different ones are states side by side.  All steps count before they shuffle.
+of copies, and different ones are states side by side.
+
+A task sorts and groups about ``ROWS`` rows, however many there are: histories are dealt to so many
+``tasks`` as their rows need.  Without the argument, the tables given are counted for it.
 """
 
 from __future__ import annotations
@@ -14,6 +17,15 @@ from pyspark.sql import functions as F
 
 from netgroom.operators.skew import left_lookup
 
+#: Rows that one task sorts and groups.
+ROWS = 500_000
+
+
+def tasks_for(*tables: DataFrame) -> int:
+    """Tasks among which the rows of ``tables`` are dealt; they are counted."""
+    rows = sum(t.count() for t in tables)
+    return max(tables[0].sparkSession.sparkContext.defaultParallelism, -(-rows // ROWS))
+
 
 def snapshot_diff(old: DataFrame, new: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """(key, change, changed_fields, rows_old, rows_new) of every key whose rows are not the same in both.
@@ -43,11 +55,17 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: str, columns: Sequence[st
     return kept.select(key, change.alias("change"), F.when(one, F.array_compact(F.array(*differs))).alias("changed_fields"), "rows_old", "rows_new")
 
 
-def _states(snapshots: DataFrame, by: Sequence[str]) -> DataFrame:
-    return snapshots.groupBy(*by).agg(F.count(F.lit(1)).alias("copies"))
+def _states(snapshots: DataFrame, by: Sequence[str], place: Sequence[str], tasks: int) -> DataFrame:
+    """Rows counted by ``by``, dealt by the columns ``place`` of them.
+
+    Equal rows are first counted for each task that read them, so one state on any share of the rows meets no task whole.
+    """
+    rows = snapshots.select(*by, F.spark_partition_id().alias("_reader"))
+    counted = rows.repartition(tasks, *by, "_reader").groupBy(*by, "_reader").agg(F.count(F.lit(1)).alias("_rows"))
+    return counted.repartition(tasks, *place).groupBy(*by).agg(F.sum("_rows").alias("copies"))
 
 
-def history(snapshots: DataFrame, key: str, columns: Sequence[str], run: str = "run_date") -> DataFrame:
+def history(snapshots: DataFrame, key: str, columns: Sequence[str], run: str = "run_date", tasks: int | None = None) -> DataFrame:
     """Validity intervals of every state of every key: (key, columns, copies, valid_from, valid_to, runs).
 
     ``snapshots`` are the tables of all runs with the date of the run.  An interval holds from the run
@@ -55,7 +73,8 @@ def history(snapshots: DataFrame, key: str, columns: Sequence[str], run: str = "
     back has a new one.  A run that published no row at all is not known here.
     """
     state = [key, *columns, "copies"]
-    rows = _states(snapshots, [run, key, *columns])
+    # what follows needs the rows of a state together, as they are then
+    rows = _states(snapshots, [run, key, *columns], [key, *columns], tasks or tasks_for(snapshots))
     # one row for each run, numbered in order
     order = Window.orderBy(run)
     dates = snapshots.select(run).distinct().select(run, F.row_number().over(order).alias("_no"), F.lead(run).over(order).alias("_next"))
@@ -67,7 +86,9 @@ def history(snapshots: DataFrame, key: str, columns: Sequence[str], run: str = "
     return spans.drop("_island")
 
 
-def extend_history(known: DataFrame, snapshot: DataFrame, run_date: str | Column, key: str, columns: Sequence[str]) -> DataFrame:
+def extend_history(
+    known: DataFrame, snapshot: DataFrame, run_date: str | Column, key: str, columns: Sequence[str], tasks: int | None = None
+) -> DataFrame:
     """``known`` after one more run: states that it shows go on, others end with it, new ones begin.
 
     Earlier runs are not read again.  The run must be later than all known ones.
@@ -75,9 +96,10 @@ def extend_history(known: DataFrame, snapshot: DataFrame, run_date: str | Column
     date = run_date if isinstance(run_date, Column) else F.lit(run_date)
     date = date.cast(known.schema["valid_from"].dataType)
     state = [key, *columns, "copies"]
-    shown = _states(snapshot, [key, *columns]).select(*state, F.lit(None).cast(known.schema["valid_from"].dataType).alias("valid_from"), F.lit(0).cast("long").alias("runs"), F.lit(1).alias("_shown"))
+    tasks = tasks or tasks_for(known, snapshot)
+    shown = _states(snapshot, [key, *columns], [key, *columns], tasks).select(*state, F.lit(None).cast(known.schema["valid_from"].dataType).alias("valid_from"), F.lit(0).cast("long").alias("runs"), F.lit(1).alias("_shown"))
     open_ = known.where("valid_to IS NULL").select(*state, "valid_from", "runs", F.lit(0).alias("_shown"))
-    both = open_.unionByName(shown).groupBy(*state).agg(F.min("valid_from").alias("_from"), F.max("runs").alias("_runs"), F.max("_shown").alias("_shown"))
+    both = open_.unionByName(shown).repartition(tasks, *state).groupBy(*state).agg(F.min("valid_from").alias("_from"), F.max("runs").alias("_runs"), F.max("_shown").alias("_shown"))
     now = both.select(
         *state,
         F.coalesce("_from", date).alias("valid_from"),
@@ -92,14 +114,15 @@ def snapshot_at(known: DataFrame, date: str) -> DataFrame:
     return known.where((F.col("valid_from") <= date) & (F.col("valid_to").isNull() | (F.col("valid_to") > date)))
 
 
-def as_of(known: DataFrame, lookups: DataFrame, key: str, at: str) -> DataFrame:
+def as_of(known: DataFrame, lookups: DataFrame, key: str, at: str, tasks: int | None = None) -> DataFrame:
     """``lookups`` with the states that their key had at the date in column ``at``; a lookup that meets none keeps NULLs.
 
     The states of a key are brought together first, so a lookup key on any share of the rows is
     joined with one row.
     """
     state = [c for c in known.columns if c != key]
-    by_key = known.groupBy(key).agg(F.collect_list(F.struct(*state)).alias("_states"))
+    keyed = known.where(F.col(key).isNotNull()).repartition(tasks or tasks_for(known, lookups), key)
+    by_key = keyed.groupBy(key).agg(F.collect_list(F.struct(*state)).alias("_states"))
     held = left_lookup(lookups, by_key, key)
     fits = F.filter("_states", lambda s: (s["valid_from"] <= F.col(at)) & (s["valid_to"].isNull() | (F.col(at) < s["valid_to"])))
     return held.select(*lookups.columns, F.inline_outer(fits))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from netgroom.functions.device import clean_device_type
 from netgroom.operators.clean import clean_inventory
 from netgroom.operators.entities import device_classes
-from netgroom.operators.history import as_of, extend_history, history, snapshot_diff
+from netgroom.operators.history import as_of, extend_history, history, snapshot_diff, tasks_for
 from netgroom.operators.learned import learn_owner
 from netgroom.operators.mined import dependency_violations, mine_dependencies
 from netgroom.operators.owners import merge_owner
@@ -114,17 +114,21 @@ def q_history_intervals(spark, sf_dir):
 def q_history_extended(spark, sf_dir):
     """The same from the first three runs' history, extended by two runs."""
     rows = _snapshots(spark, sf_dir)
-    known = history(rows.where("run_date <= '2025-11-03'"), "source_row_id", _TRACKED)
+    # no more states than rows: the history is not worked out once more to be counted
+    tasks = tasks_for(rows)
+    known = history(rows.where("run_date <= '2025-11-03'"), "source_row_id", _TRACKED, tasks=tasks)
     for date in ("2025-11-04", "2025-11-05"):
-        known = extend_history(known, derived(spark, sf_dir, SNAPSHOTS[date]), date, "source_row_id", _TRACKED)
+        known = extend_history(known, derived(spark, sf_dir, SNAPSHOTS[date]), date, "source_row_id", _TRACKED, tasks)
     return known
 
 
 @query
 def q_history_asof(spark, sf_dir):
     """The states that devices had at given dates."""
-    known = history(_snapshots(spark, sf_dir), "source_row_id", _TRACKED)
-    return as_of(known, derived(spark, sf_dir, LOOKUPS_SQL), "source_row_id", "asked_for")
+    rows, lookups = _snapshots(spark, sf_dir), derived(spark, sf_dir, LOOKUPS_SQL)
+    tasks = tasks_for(rows, lookups)
+    known = history(rows, "source_row_id", _TRACKED, tasks=tasks)
+    return as_of(known, lookups, "source_row_id", "asked_for", tasks)
 
 
 @query

@@ -292,3 +292,24 @@ def test_csv_of_documents_without_ids(spark, tmp_path):
     got = features.q_csv_quoted_breaks(spark, str(tmp_path)).select("source_row_id", "ip", "hostname", "mac", "owner", "site", "n_chars").collect()
     want = [(None, None, None, "", "", "web", 0), (None, None, None, "", "en", "", 3), (3, "10.0.3.7", "doc-3", "", "de", "", 7)]
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+
+
+def test_tasks_of_a_history_grow_with_its_rows(spark, monkeypatch):
+    """A task has about ``ROWS`` rows at any number of shuffle partitions, and the results do not depend on it."""
+    rows = snapshots(random.Random(3), 5) + [(f"d{k}", None, "hot", None) for k in range(5) for _ in range(200)]
+    dates = sorted({r[0] for r in rows})
+    frame, want = spark.createDataFrame(rows, STATE), plain_history(rows, dates)
+
+    def shape(df):
+        return Counter(tuple(r) for r in df.select("id", "owner", "site", "copies", "valid_from", "valid_to", "runs").collect())
+
+    monkeypatch.setattr("netgroom.operators.history.ROWS", 50)
+    known = history(frame, "id", ["owner", "site"])
+    assert len(rows) // 50 < known.rdd.getNumPartitions() <= len(rows) // 50 + 1
+    assert shape(known) == want
+    last = frame.where(F.col("run_date") == dates[-1])
+    grown = extend_history(history(frame.where(F.col("run_date") < dates[-1]), "id", ["owner", "site"]), last, dates[-1], "id", ["owner", "site"], tasks=13)
+    assert shape(grown) == want
+    lookups = spark.createDataFrame([(k, k % 12, f"d{k % 5}") for k in range(60)], "k long, id long, at string")
+    few, many = (Counter(map(tuple, as_of(known, lookups, "id", "at", t).collect())) for t in (1, 17))
+    assert few == many
