@@ -6,6 +6,7 @@ import base64
 import hashlib
 import math
 import re
+from functools import lru_cache
 from itertools import chain
 
 import ahocorasick
@@ -17,10 +18,23 @@ from pyspark.sql import types as T
 from netgroom.llm.common import map_texts, table, texts
 from netgroom.llm.text import chunks
 
-#: Segments, and pieces, in one generation of a worker's tables, and the longest kept; pairs kept.
-CACHE, KEPT, PAIRS = 300_000, 64, 1_000_000
-#: A space between two characters that are no white space: with such a space a piece begins.
-_CUT = re.compile(r" (?<=\S )(?=\S)")
+#: Pieces, and prefixes of pieces, in one generation of a worker's tables; the longest piece kept (characters) and the
+#: longest done by kept prefixes (bytes); pairs kept.
+CACHE, KEPT, SHARED, PAIRS = 500_000, 32, 40, 1_000_000
+#: The pattern that ``_quick`` writes for ``re``, and characters that it does not know.
+_KNOWN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_FAR = re.compile("[\U00010000-\U0010ffff]")
+
+
+@lru_cache
+def _quick() -> re.Pattern:
+    """``_KNOWN`` for ``re``, twice as fast as ``regex``: its classes as sets of characters up to U+FFFF, larger sets are slow."""
+    every = "".join(map(chr, chain(range(0xD800), range(0xE000, 0x10000))))
+    runs = [regex.findall(kind, every) for kind in (r"\p{L}+", r"\p{N}+", r"\p{White_Space}+")]
+    letter, number, space = ("".join(f"{re.escape(r[0])}-{re.escape(r[-1])}" for r in found) for found in runs)
+    return re.compile(
+        f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+| ?[^{space}{letter}{number}]+|[{space}]+(?![^{space}])|[{space}]+"
+    )
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -40,7 +54,8 @@ class Bpe:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.bytes_of = {i: b for b, i in ranks.items()}
-        self.split = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
+        self.exact = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
+        self.quick = _quick() if pattern == _KNOWN else None
         self.longest = max(map(len, ranks))
         #: Finds the tokens that end at each byte, the longest first.
         self.ends = ahocorasick.Automaton()
@@ -54,11 +69,11 @@ class Bpe:
         self.traces: dict[int, list[tuple[float, bytes, bytes]] | None] = {}
         #: Whether a token may follow another, under left * width + right; left is -1 at the start.
         self.fits: dict[int, bool] = {}
-        #: Pieces and segments seen lately and those before them: two bounded generations each.
+        #: Pieces and prefixes of pieces seen lately and those before them: two bounded generations each.
         self.pieces: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
-        self.segments: dict[str, tuple[int, ...]] = {}
-        self.older_segments: dict[str, tuple[int, ...]] = {}
+        self.prefixes: dict[bytes, tuple[int, ...]] = {}
+        self.older_prefixes: dict[bytes, tuple[int, ...]] = {}
 
     def steps(self, data: bytes) -> list[tuple[float, bytes, bytes]]:
         """Merging of a single token: before each merge its rank, the first and the last part; at the end no rank."""
@@ -154,11 +169,42 @@ class Bpe:
             at -= sizes[token]
         return out[::-1]
 
+    def _last(self, data: bytes) -> tuple[int, ...]:
+        """Ids of ``data`` by its last token; only the prefixes that a token tried leads to are done, or known from other pieces."""
+        ranks, fits, width, n = self.ranks, self.fits, self.width, len(data)
+        for start in range(max(0, n - self.longest), n):
+            token = ranks.get(data[start:])
+            if token is None:
+                continue
+            ids = ()
+            if start:
+                before = data[:start]
+                ids = self.prefixes.get(before) or self._prefix(before)
+            left = ids[-1] if ids else -1
+            key = left * width + token
+            good = fits.get(key)
+            if good is None:
+                if len(fits) >= PAIRS:
+                    fits.clear()
+                good = fits[key] = self._fits(left, token)
+            if good:
+                return (*ids, token)
+        raise ValueError("the vocabulary lacks single bytes")
+
+    def _prefix(self, data: bytes) -> tuple[int, ...]:
+        ids = self.older_prefixes.get(data) or self._last(data)
+        if len(self.prefixes) >= CACHE:
+            self.prefixes, self.older_prefixes = {}, self.prefixes
+        self.prefixes[data] = ids
+        return ids
+
     def piece(self, text: str) -> tuple[int, ...]:
         """Ids of one match of the pattern; a match that is a token itself is that token."""
         data = text.encode()
         whole = self.ranks.get(data)
-        return (whole,) if whole is not None else tuple(self.tokens(self.append(data, [])))
+        if whole is not None:
+            return (whole,)
+        return self._last(data) if len(data) <= SHARED else tuple(self.tokens(self.append(data, [])))
 
     def _piece(self, part: str) -> tuple[int, ...]:
         ids = self.pieces.get(part)
@@ -170,34 +216,20 @@ class Bpe:
                 self.pieces[part] = ids
         return ids
 
-    def _segment(self, part: str) -> tuple[int, ...]:
-        """Ids of a space and the segment behind it."""
-        ids = self.segments.get(part)
-        if ids is None:
-            ids = self.older_segments.get(part)
-            if ids is None:
-                # a word of letters is one piece
-                if part.isascii() and part.isalpha():
-                    ids = self._piece(" " + part)
-                else:
-                    ids = tuple(chain.from_iterable(map(self._piece, self.split.findall(" " + part))))
-            if len(part) <= KEPT:
-                if len(self.segments) >= CACHE:
-                    self.segments, self.older_segments = {}, self.segments
-                self.segments[part] = ids
-        return ids
+    def split(self, text: str) -> list[str]:
+        """Matches of the pattern."""
+        exact = self.quick is None or _FAR.search(text)
+        return (self.exact if exact else self.quick).findall(text)
 
     def encode(self, text: str) -> list[int]:
-        """Ids of a text, from those of its segments between single spaces."""
-        first, *rest = _CUT.split(text)
-        found = list(map(self.segments.get, rest))
+        """Ids of a text, from those of its pieces."""
+        parts = self.split(text)
+        found = list(map(self.pieces.get, parts))
         if None in found:
             for k, ids in enumerate(found):
                 if ids is None:
-                    found[k] = self._segment(rest[k])
-        out = list(chain.from_iterable(map(self._piece, self.split.findall(first))))
-        out.extend(chain.from_iterable(found))
-        return out
+                    found[k] = self._piece(parts[k])
+        return list(chain.from_iterable(found))
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
