@@ -6,7 +6,6 @@ import base64
 import hashlib
 import math
 import re
-from functools import lru_cache
 from itertools import chain
 
 import ahocorasick
@@ -26,7 +25,6 @@ _KNOWN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 _FAR = re.compile("[\U00010000-\U0010ffff]")
 
 
-@lru_cache
 def _quick() -> re.Pattern:
     """``_KNOWN`` for ``re``, twice as fast as ``regex``: its classes as sets of characters up to U+FFFF, larger sets are slow."""
     every = "".join(map(chr, chain(range(0xD800), range(0xE000, 0x10000))))
